@@ -29,7 +29,10 @@ def azure_settings(account: str, key: str, scheme: str = "wasbs") -> dict[str, s
 
 
 def load_job(path: str, environ: Mapping[str, str] = os.environ) -> Medallion:
-    """A ``Medallion`` from a JSON file; ``${NAME}`` in its texts is an environment variable."""
+    """A ``Medallion`` from a JSON file; ``${NAME}`` in its texts is an environment variable.
+
+    Needs a running session: Spark reads the schema text.
+    """
     with open(path, encoding="utf-8") as file:
         values = _filled(json.load(file), environ)
     values["schema"] = T.StructType.fromDDL(values["schema"])
