@@ -1,0 +1,66 @@
+"""Compare every query with its SQL on DuckDB: ``python -m tests.oracle [sf_dir] [name ...]``."""
+
+import sys
+import time
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+        )
+    return connection
+
+
+def bag(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return Counter(tuple(repr(row[i]) for i in order) for row in rows)
+
+
+def difference(df, connection, sql):
+    """What the two results do not share; empty when they agree."""
+    expected = connection.execute(sql)
+    columns = [d[0] for d in expected.description]
+    if sorted(df.columns) != sorted(columns):
+        return [("columns", sorted(df.columns), sorted(columns))]
+    want, got = bag(columns, expected.fetchall()), bag(df.columns, df.collect())
+    return [("spark only", *(got - want).most_common(3))] * bool(got - want) + [
+        ("sql only", *(want - got).most_common(3))
+    ] * bool(want - got)
+
+
+def main(sf_dir="/root/testdata/sf0.01", *names):
+    from __spark_entry__ import oracle_sql, queries
+    from tierlake.session import builder
+
+    spark = (
+        builder("oracle", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+        .master("local[8]")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    connection = connect(sf_dir)
+    failed = 0
+    for name, build in queries().items():
+        if names and name not in names:
+            continue
+        start = time.time()
+        df = build(spark, sf_dir)
+        found = difference(df, connection, oracle_sql()[name])
+        failed += bool(found)
+        print(f"{name:30} {df.count():8} {time.time() - start:6.1f}s {found or 'ok'}", flush=True)
+    sys.exit(bool(failed))
+
+
+if __name__ == "__main__":
+    main(*sys.argv[1:])
