@@ -97,7 +97,7 @@ class PageReader(DataSourceReader):
 
     def _address(self, page: int) -> str:
         if "{page}" in self.url:
-            return self.url.format(page=page, per_page=self.per_page)
+            return self.url.replace("{page}", str(page)).replace("{per_page}", str(self.per_page))
         joint = "&" if "?" in self.url else "?"
         return self.url + joint + urlencode({"page": page, "per_page": self.per_page})
 
