@@ -232,15 +232,14 @@ NUMBER_SHAPES: dict[str, Callable[[Column], Column]] = {
        FROM lineitem"""
 )
 def safe_double_shapes(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
     text = F.col("l_quantity").cast("string")
-    special = F.when(F.col("l_linestatus") == "O", F.lit(" Infinity")).otherwise(F.lit(""))
-    return lineitem.select(
-        "l_orderkey",
-        "l_linenumber",
-        *(safe_double(shape(text)).alias(name) for name, shape in NUMBER_SHAPES.items()),
-        safe_double("l_returnflag").alias("letter"),
-        safe_double(special).alias("special"),
+    texts = {name: shape(text) for name, shape in NUMBER_SHAPES.items()}
+    texts["letter"] = F.col("l_returnflag")
+    texts["special"] = F.when(F.col("l_linestatus") == "O", F.lit(" Infinity")).otherwise("")
+    keys = ["l_orderkey", "l_linenumber"]
+    lineitem = table(spark, sf_dir, "lineitem")
+    return lineitem.select(*keys, *(text.alias(name) for name, text in texts.items())).select(
+        *keys, *(safe_double(name).alias(name) for name in texts)
     )
 
 

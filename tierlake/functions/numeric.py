@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 
 from tierlake.names import as_column
 
-_DIGITS = r"[0-9]+(_[0-9]+)*"
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 _NUMBER = (
-    rf"\A\s*[+-]?((({_DIGITS})(\.({_DIGITS})?)?|\.({_DIGITS}))([eE][+-]?{_DIGITS})?"
-    r"|(?i:inf|infinity))\s*\z"
+    rf"\A\s*+[+-]?+(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?+)?+|\.{_DIGITS})(?:[eE][+-]?+{_DIGITS})?+"
+    r"|(?i:inf|infinity|nan))\s*+\z"
 )
-_NAN = r"\A\s*[+-]?(?i:nan)\s*\z"
-_NON_ASCII = r"[^\x00-\x7F]"
+_BLANKS = " \t\n\x0b\f\r"
 
 
 @cache
@@ -34,19 +33,14 @@ def _unicode_forms() -> tuple[str, str]:
     return "".join(chars), "".join(plain)
 
 
-def _ascii_double(text: Column) -> Column:
-    cleaned = F.regexp_replace(text, r"[_\s]", "")
-    return F.when(text.rlike(_NUMBER), cleaned.try_cast("double")).when(
-        text.rlike(_NAN), F.lit(float("nan"))
-    )
-
-
 def safe_double(value: Column | str) -> Column:
     """A STRING column as DOUBLE; null where Python's ``float`` would fail."""
-    text = as_column(value)
-    # Evaluated only for the rows the ASCII grammar turned down.
-    retried = F.when(text.rlike(_NON_ASCII), _ascii_double(F.translate(text, *_unicode_forms())))
-    return F.coalesce(_ascii_double(text), retried)
+    given = as_column(value)
+    is_ascii = F.octet_length(given) == F.char_length(given)
+    text = F.when(is_ascii, given).otherwise(F.translate(given, *_unicode_forms()))
+    number = F.replace(F.btrim(text, F.lit(_BLANKS)), F.lit("_"), F.lit("")).try_cast("double")
+    # The one match the cast does not read is nan with a sign.
+    return F.when(text.rlike(_NUMBER), F.coalesce(number, F.lit(float("nan"))))
 
 
 def safe_double_variant(value: Column | str) -> Column:
