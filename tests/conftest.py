@@ -11,7 +11,9 @@ TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 def spark():
     session = (
         builder("tests", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
-        .master("local[*]")
+        # Two attempts per task, so that tests can lose one.
+        .master("local[*, 2]")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")

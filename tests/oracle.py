@@ -45,6 +45,7 @@ def main(sf_dir="/root/testdata/sf0.01", *names):
     spark = (
         builder("oracle", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
         .master("local[8]")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,6 +132,25 @@ def test_a_hot_partition_value_is_split_over_tasks(spark, tmp_path):
     assert read_layer(spark, path, SCHEMA).distinct().count() == 400_000
 
 
+def lose_first_attempts(batches):
+    """Pass everything on, but fail the first attempt of each odd task at its end."""
+    yield from batches
+    context = TaskContext.get()
+    if context.attemptNumber() == 0 and context.partitionId() % 2:
+        raise RuntimeError("lost")
+
+
+@pytest.mark.parametrize("partition_by", [None, "k"])
+def test_tasks_that_run_again_write_and_count_once(spark, tmp_path, partition_by):
+    rows = spark.range(0, 1000, 1, 6).selectExpr(
+        "cast(id as int) id", "cast(id % 3 as string) k", "'x' v"
+    )
+    path = str(tmp_path / "layer")
+    flaky = rows.mapInArrow(lose_first_attempts, rows.schema)
+    assert refresh(flaky, path, partition_by).rows == 1000
+    assert content(spark, path) == sorted(tuple(r) for r in rows.collect())
+
+
 def test_clustering_needs_adaptive_execution(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Sequence
 from functools import cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.names import as_column
+from tierlake.names import as_column, exact
 
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
 _NUMBER = (
@@ -43,6 +44,22 @@ def safe_double(value: Column | str) -> Column:
     return F.when(text.rlike(_NUMBER), F.coalesce(number, F.lit(float("nan"))))
 
 
+def _variant_text(json: Column) -> Column:
+    return F.try_variant_get(json, "$", "string")
+
+
+def _by_json_type(value: Column, text: Column, json: Column) -> Column:
+    """``value``, read from the text, but for what the JSON type changes.
+
+    Only a zero and the word true depend on the type, so it is looked up for
+    those alone.
+    """
+    kind = F.schema_of_variant(json)
+    return F.when((value == 0.0) & (kind != "STRING"), F.lit(None).cast("double")).when(
+        (text == "true") & (kind == "BOOLEAN"), F.lit(1.0)
+    ).otherwise(value)
+
+
 def safe_double_variant(value: Column | str) -> Column:
     """A VARIANT column as DOUBLE.
 
@@ -50,10 +67,33 @@ def safe_double_variant(value: Column | str) -> Column:
     null while the text ``"0"`` is 0.0.
     """
     json = as_column(value)
-    text = F.try_variant_get(json, "$", "string")
-    number = F.try_variant_get(json, "$", "double")
-    return F.when(F.schema_of_variant(json) == "STRING", safe_double(text)).otherwise(
-        F.nullif(number, F.lit(0.0))
+    text = _variant_text(json)
+    return _by_json_type(safe_double(text), text, json)
+
+
+def doubles_from_variants(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``safe_double_variant`` for the columns ``names``, the others as they are.
+
+    In steps, each a projection of its own: the text of a value and the number
+    in it are made once per row although later steps use them repeatedly.
+    """
+    if not names:
+        return df
+    texts = {name: f"{name} (text)" for name in names}
+    numbers = {name: f"{name} (number)" for name in names}
+    read = df.select(
+        "*", *(_variant_text(exact(name)).alias(text) for name, text in texts.items())
+    )
+    parsed = read.select(
+        "*", *(safe_double(texts[name]).alias(number) for name, number in numbers.items())
+    )
+    return parsed.select(
+        *(
+            _by_json_type(exact(numbers[name]), exact(texts[name]), exact(name)).alias(name)
+            if name in texts
+            else exact(name)
+            for name in df.columns
+        )
     )
 
 

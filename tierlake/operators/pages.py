@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions.numeric import safe_double_variant
-from tierlake.names import exact
+from tierlake.functions.numeric import doubles_from_variants
 
 # The JSON documents a Python program treats as false.
 _EMPTY_BODY = (
@@ -60,7 +59,7 @@ def end_of_pages(pages: DataFrame) -> DataFrame:
     here = F.struct(F.col("page").alias("n"), "here")
     following = F.struct((F.col("page") + 1).alias("n"), F.lit(0).cast("bigint").alias("here"))
     marks = numbers.select(F.inline(F.array(here, following)))
-    first = pages.sparkSession.range(1).select(
+    first = pages.sparkSession.range(0, 1, 1, 1).select(
         F.col("id").alias("n"), F.lit(0).cast("bigint").alias("here")
     )
     words = (
@@ -127,14 +126,8 @@ def read_records(pages: DataFrame, schema: T.StructType) -> DataFrame:
     message = F.format_string("page %d is not one JSON array of objects", F.col("page"))
     checked = F.when(is_list_of_objects, body).otherwise(F.raise_error(message))
     records = parsed.select(F.inline(checked))
-    return records.select(
-        *(
-            safe_double_variant(field.name).alias(field.name)
-            if isinstance(field.dataType, T.DoubleType)
-            else exact(field.name)
-            for field in schema.fields
-        )
-    )
+    reals = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return doubles_from_variants(records, reals)
 
 
 def union_pages(*parts: DataFrame) -> DataFrame:
