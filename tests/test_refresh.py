@@ -151,14 +151,43 @@ def test_tasks_that_run_again_write_and_count_once(spark, tmp_path, partition_by
     assert content(spark, path) == sorted(tuple(r) for r in rows.collect())
 
 
-def test_clustering_needs_adaptive_execution(spark, tmp_path):
+def shuffles_of(spark, work):
+    """How many tasks of ``work`` wrote shuffle data: zero means no shuffle."""
+    listed = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("shuffles", "shuffles")
+    try:
+        work()
+        jobs = [listed.getJobInfo(job) for job in listed.getJobIdsForGroup("shuffles")]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return sum(len(job.stageIds) for job in jobs) - len(jobs)
+
+
+@pytest.mark.parametrize("partition_by, options", [(None, {}), ("k", {"cluster": False})])
+def test_no_shuffle_unless_clustering(spark, tmp_path, partition_by, options):
+    rows = spark.range(0, 100, 1, 4).selectExpr("cast(id as int) id", "'a' k", "'x' v")
+    path = str(tmp_path / "layer")
+    assert shuffles_of(spark, lambda: refresh(rows, path, partition_by, **options)) == 0
+    folder = os.path.join(path, "k=a") if partition_by else path
+    assert sum(name.startswith("part-") for name in os.listdir(folder)) == 4
+
+
+def test_without_adaptive_execution_nothing_is_clustered(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 4).selectExpr("cast(id as int) id", "'a' k", "'x' v")
+    path = str(tmp_path / "layer")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        with pytest.raises(ValueError, match="adaptive"):
-            refresh(table(spark, (1, "a", "x")), str(tmp_path / "layer"), "k")
-        assert refresh(table(spark, (1, "a", "x")), str(tmp_path / "layer"), "k", cluster=False).rows
+        assert refresh(rows, path, "k").rows == 100
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(content(spark, path)) == 100
+
+
+def test_partition_column_with_a_dot(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "id INT, `a.b` STRING")
+    path = str(tmp_path / "layer")
+    refresh(rows, path, "a.b")
+    assert sorted(map(tuple, read_layer(spark, path, rows.schema).collect())) == [(1, "x"), (2, "y")]
 
 
 def test_file_size_limit(spark, tmp_path):

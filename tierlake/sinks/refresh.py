@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.fs import Files, sibling
+from tierlake.names import exact
 
 # Names the current run of a table that was published with swap="pointer".
 POINTER = "_current"
@@ -101,18 +102,18 @@ def refresh(
     asks Spark to rebalance by the column first: small values share a task, and
     a value far over ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is
     split over many tasks, so one value with a third of all rows does not end
-    up in one task. ``cluster=False`` skips that shuffle; each task then
-    writes one file per value it meets, which is the cheaper plan for columns
-    with few values and large input splits.
+    up in one task. ``cluster=False``, or a session without adaptive execution,
+    skips that shuffle; each task then writes one file per value it meets,
+    which is the cheaper plan for columns with few values and large input
+    splits.
 
     ``df`` may read ``target`` itself. The rows are counted in the writing tasks.
     """
     spark = df.sparkSession
     rows = Observation()
-    if partition_by and cluster:
-        if spark.conf.get("spark.sql.adaptive.enabled") != "true":
-            raise ValueError("cluster=True relies on spark.sql.adaptive.enabled to split hot values")
-        df = df.hint("rebalance", partition_by)
+    # Without adaptive execution nothing would split a hot value.
+    if partition_by and cluster and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        df = df.hint("rebalance", exact(partition_by))
     # Observed after the shuffle: in the final stage a task that runs again,
     # after an executor was lost, is counted once.
     writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.options(**_DATA_FILES_ONLY)
