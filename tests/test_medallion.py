@@ -111,6 +111,21 @@ def test_projection_and_layer_choice(spark, job):
         run(spark, job, ["platinum"])
 
 
+def test_plans(spark, job):
+    land(spark, job, good_bodies())
+    run(spark, job)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    silver = plan(job.silver_frame(read_layer(spark, job.bronze, job.schema)))
+    assert "Exchange" not in silver and silver.count("Project") == 1
+    gold = plan(job.gold_frame(read_layer(spark, job.silver, job.silver_schema)))
+    assert gold.count("Exchange") == 1 and "partial_count" in gold
+    # The partition column comes from the folder names.
+    assert "ReadSchema: struct<id:string,city:string,state_province:string>" in gold
+
+
 def test_command_line(spark, job, tmp_path, capfd, monkeypatch):
     land(spark, job, good_bodies())
     monkeypatch.setenv("LAKE", str(tmp_path))

@@ -114,6 +114,13 @@ def test_a_malformed_body_after_the_end_is_never_read(spark):
     assert ids(ingest(pages(spark, page(0, "a"), (1, 200, "[]"), (2, 200, "x")))) == ["a"]
 
 
+def test_long_values_are_read_whole(spark):
+    text, number = "x" * 25_000_000, "1" + "0" * 1500
+    body = f'[{{"id":"{text}","lon":{number}}},{{"id":"b","lon":{{"a":1,"a":2}}}}]'
+    rows = {r.id[:2]: r for r in ingest(pages(spark, (0, 200, body))).collect()}
+    assert rows["xx"].id == text and rows["xx"].lon == math.inf and rows["b"].lon is None
+
+
 def test_plan(spark, tmp_path):
     path = str(tmp_path / "landed")
     rows = [page(n, "a", "b") for n in range(50)] + [(50, 200, "[]")]

@@ -33,6 +33,14 @@ def test_json_lines(spark, tmp_path):
     assert [r.id for r in records.collect()] == ["a"]
 
 
+def test_parquet_pages_without_the_flag(spark, tmp_path):
+    rows = [(0, 200, '[{"id":"a"}]'), (1, 200, "[]"), (2, 200, '[{"id":"b"}]')]
+    pages = spark.createDataFrame(rows, "page INT, status INT, body STRING")
+    pages.write.parquet(str(tmp_path / "p"))
+    records = read_records(take_pages(read_pages(spark, str(tmp_path / "p"))), RECORD)
+    assert [r.id for r in records.collect()] == ["a"]
+
+
 def test_fetching_source(spark, tmp_path):
     url = write_pages(tmp_path, 9, 20)
     spark.dataSource.register(PageSource)

@@ -44,20 +44,16 @@ def safe_double(value: Column | str) -> Column:
     return F.when(text.rlike(_NUMBER), F.coalesce(number, F.lit(float("nan"))))
 
 
-def _variant_text(json: Column) -> Column:
-    return F.try_variant_get(json, "$", "string")
+def _is_text(json: Column) -> Column:
+    return F.schema_of_variant(json) == "STRING"
 
 
-def _by_json_type(value: Column, text: Column, json: Column) -> Column:
-    """``value``, read from the text, but for what the JSON type changes.
+def _text_in(json: Column) -> Column:
+    return F.try_variant_get(json, "$", "string")
 
-    Only a zero and the word true depend on the type, so it is looked up for
-    those alone.
-    """
-    kind = F.schema_of_variant(json)
-    return F.when((value == 0.0) & (kind != "STRING"), F.lit(None).cast("double")).when(
-        (text == "true") & (kind == "BOOLEAN"), F.lit(1.0)
-    ).otherwise(value)
+
+def _number_in(json: Column) -> Column:
+    return F.try_variant_get(json, "$", "double")
 
 
 def safe_double_variant(value: Column | str) -> Column:
@@ -67,34 +63,36 @@ def safe_double_variant(value: Column | str) -> Column:
     null while the text ``"0"`` is 0.0.
     """
     json = as_column(value)
-    text = _variant_text(json)
-    return _by_json_type(safe_double(text), text, json)
+    return F.when(_is_text(json), safe_double(_text_in(json))).otherwise(
+        F.nullif(_number_in(json), F.lit(0.0))
+    )
 
 
 def doubles_from_variants(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``safe_double_variant`` for the columns ``names``, the others as they are.
 
-    In steps, each a projection of its own: the text of a value and the number
-    in it are made once per row although later steps use them repeatedly.
+    In steps, each a projection of its own, so that what a step uses several
+    times is made once per row, and only for the rows that need it.
     """
     if not names:
         return df
-    texts = {name: f"{name} (text)" for name in names}
-    numbers = {name: f"{name} (number)" for name in names}
-    read = df.select(
-        "*", *(_variant_text(exact(name)).alias(text) for name, text in texts.items())
-    )
-    parsed = read.select(
-        "*", *(safe_double(texts[name]).alias(number) for name, number in numbers.items())
-    )
-    return parsed.select(
-        *(
-            _by_json_type(exact(numbers[name]), exact(texts[name]), exact(name)).alias(name)
-            if name in texts
-            else exact(name)
-            for name in df.columns
-        )
+
+    def is_text(name: str) -> Column:
+        return exact(f"{name} (is text)")
+
+    typed = df.select("*", *(_is_text(exact(n)).alias(f"{n} (is text)") for n in names))
+    read = typed.select(
+        "*",
+        *(F.when(is_text(n), _text_in(exact(n))).alias(f"{n} (text)") for n in names),
+        *(F.when(~is_text(n), _number_in(exact(n))).alias(f"{n} (number)") for n in names),
     )
+    doubles = {
+        n: F.when(is_text(n), safe_double(f"{n} (text)"))
+        .otherwise(F.nullif(exact(f"{n} (number)"), F.lit(0.0)))
+        .alias(n)
+        for n in names
+    }
+    return read.select(*(doubles.get(name, exact(name)) for name in df.columns))
 
 
 def json_field(document: Column | str, key: str) -> Column:

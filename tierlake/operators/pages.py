@@ -24,7 +24,13 @@ _EMPTY_BODY = (
     r'\A[ \t\n\r]*(\[[ \t\n\r]*\]|\{[ \t\n\r]*\}|null|false|""|-?0(\.0+)?([eE][+-]?[0-9]+)?)'
     r"[ \t\n\r]*\z"
 )
-_STRICT_JSON = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+# Strict about form, with no limit on the length of a text or a number.
+_STRICT_JSON = {
+    "mode": "FAILFAST",
+    "allowSingleQuotes": "false",
+    "maxStringLen": str(2**31 - 1),
+    "maxNumLen": str(2**31 - 1),
+}
 
 # One BIGINT tells for 32 consecutive pages which of them are there.
 _WORD_BITS = 5

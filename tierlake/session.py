@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
+    # As in JSON objects elsewhere, the last of two equal keys counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Folder names are text, also for readers that give no schema.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -20,10 +20,16 @@ LANDED_SCHEMA = PAGE_SCHEMA + ", empty BOOLEAN"
 
 
 def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
-    """Landed pages: a Parquet table from ``land_pages``, or JSON lines of page rows."""
-    if format == "parquet":
-        return spark.read.schema(LANDED_SCHEMA).parquet(layer_path(spark, path))
-    return spark.read.schema(PAGE_SCHEMA).format(format).load(path)
+    """Landed pages: a Parquet table, or page rows in another format such as JSON lines.
+
+    A Parquet table from ``land_pages`` has the ``empty`` flag, so that the
+    search for the end need not read bodies; one without it works too.
+    """
+    path = layer_path(spark, path)
+    if format != "parquet":
+        return spark.read.schema(PAGE_SCHEMA).format(format).load(path)
+    flagged = "empty" in spark.read.parquet(path).columns
+    return spark.read.schema(LANDED_SCHEMA if flagged else PAGE_SCHEMA).parquet(path)
 
 
 def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\.json$") -> DataFrame:
