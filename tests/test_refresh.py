@@ -96,6 +96,14 @@ def test_partition_values(spark, tmp_path):
     assert os.path.isdir(os.path.join(path, "k=08"))
 
 
+def test_reading_without_a_schema(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    refresh(table(spark, (1, "a", "x"), (2, "08", "y")), path, "k", swap="pointer")
+    inferred = read_layer(spark, path)
+    assert inferred.columns == ["id", "v", "k"]
+    assert {r.k for r in inferred.collect()} == {"a", "08"}
+
+
 @pytest.mark.parametrize("partition_by", [None, "k"])
 def test_empty_tables(spark, tmp_path, partition_by):
     path = str(tmp_path / "layer")

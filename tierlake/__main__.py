@@ -35,7 +35,10 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 def _session() -> SparkSession:
     account = setting("AZURE_ACCOUNT_NAME", "")
     key = setting("AZURE_STORAGE_ACCOUNT_KEY", "")
-    return builder("tierlake", azure_settings(account, key) if account and key else {}).getOrCreate()
+    settings: dict[str, str] = {}
+    if account and key:
+        settings = {**azure_settings(account, key), **azure_settings(account, key, "abfss")}
+    return builder("tierlake", settings).getOrCreate()
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions.nulls import DEFAULTS, fill_defaults
@@ -100,4 +99,4 @@ def run(
 def row_counts(spark: SparkSession, done: Mapping[str, Refreshed]) -> DataFrame:
     """``(layer, n)``, one row per refreshed layer."""
     counts = [(layer, result.rows) for layer, result in done.items()]
-    return spark.createDataFrame(counts, "layer STRING, n BIGINT").select("layer", F.col("n"))
+    return spark.createDataFrame(counts, "layer STRING, n BIGINT")

@@ -16,7 +16,6 @@ SETTINGS = {
     # Size shuffle partitions and written files by bytes, not by core count.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
     # The JVM leaves larger methods uncompiled: wide projections run faster split up.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",

@@ -18,12 +18,17 @@ def layer_path(spark: SparkSession, target: str) -> str:
     return f"{target}/{files.read_text(pointer).strip()}" if files.exists(pointer) else target
 
 
-def read_layer(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def read_layer(
+    spark: SparkSession, target: str, schema: T.StructType | None = None
+) -> DataFrame:
     """All rows of a Parquet table, folder-name columns included.
 
-    The declared schema keeps folder-name columns in their place and type
-    (``08`` stays text), and makes a table without files readable.
+    A declared schema keeps folder-name columns in their place and type
+    (``08`` stays text), and makes a table without files readable. Without one
+    Spark infers it, and folder-name columns come last.
     """
     path = layer_path(spark, target)
-    scan = spark.read.schema(schema).option("basePath", path).parquet(path)
-    return scan.select(*(exact(name) for name in schema.names))
+    reader = spark.read.option("basePath", path)
+    if schema is None:
+        return reader.parquet(path)
+    return reader.schema(schema).parquet(path).select(*(exact(name) for name in schema.names))
