@@ -1,7 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import connect, difference
+from tierlake.catalog import ORACLE_SQL, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +13,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, connection, name):
-    assert difference(queries()[name](spark, sf_dir), connection, oracle_sql()[name]) == []
+    assert difference(QUERIES[name](spark, sf_dir), connection, ORACLE_SQL[name]) == []
 
 
 def test_entry(spark):
