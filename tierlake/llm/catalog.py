@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierlake.llm import exact_dedup, hilbert_shards, mixing
+from tierlake.llm import exact_dedup, hilbert_shards, line_dedup, mixing
 from tierlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,31 @@ def query(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+ORACLE_SQL["op4_line_dedup"] = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line),
+gone AS (
+  SELECT key FROM keyed WHERE length(key) >= 1
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                       FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN gone USING (key) GROUP BY doc_id
+"""
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
