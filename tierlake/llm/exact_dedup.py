@@ -20,8 +20,15 @@ from pyspark.sql import types as T
 from tierlake.llm.common import ascii_lower, broadcast_if_small, stored, texts
 from tierlake.session import scratch
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Upload what changed, and hold no disk for logs in advance (4 MB a partition).
+    f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 #: Members of groups that are sent to every task instead of shuffling all texts.
 BROADCAST_ROWS = 500_000
 
@@ -59,8 +66,9 @@ class DigestState:
     def fold(self) -> None:
         """Run the stream over what landed since the last call, then stop it."""
         spark = self.spark
-        before = spark.conf.get(PROVIDER, None)
-        spark.conf.set(PROVIDER, ROCKSDB)
+        before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+        for name, value in STATE_SETTINGS.items():
+            spark.conf.set(name, value)
         try:
             held = (
                 spark.readStream.schema(self.landed().schema)
@@ -80,10 +88,11 @@ class DigestState:
             )
             query.awaitTermination()
         finally:
-            if before is None:
-                spark.conf.unset(PROVIDER)
-            else:
-                spark.conf.set(PROVIDER, before)
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
     def held(self) -> DataFrame:
         """``digest, keep_id, keep_row, locator, group_size``, read from the state store."""
