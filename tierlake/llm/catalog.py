@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import exact_dedup, fertility, hilbert_shards, line_dedup, mixing, packing
+from tierlake.llm import (
+    exact_dedup,
+    fertility,
+    hilbert_shards,
+    html_text,
+    line_dedup,
+    mixing,
+    packing,
+)
 from tierlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +32,11 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_text_to_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))

@@ -123,7 +123,7 @@ def measure(frame: pd.DataFrame, cut: Cutter) -> pd.DataFrame:
 
 def fertility(
     docs: DataFrame,
-    width: float = 3.0,
+    width: float = 2.0,
     byte_path: str = BYTE_BPE,
     piece_path: str = PIECE_BPE,
     id_col: str = "doc_id",
