@@ -36,8 +36,7 @@ def surrogate(column: Column, kind: T.DataType) -> Column:
 
 def cell(value: Column, cuts: list[float]) -> Column:
     """How many of the ascending ``cuts`` are at or below ``value``."""
-    points = F.array(*[F.lit(float(c)) for c in cuts])
-    return F.size(F.filter(points, lambda c: c <= value)).cast("long")
+    return sum(((value >= float(c)).cast("int") for c in cuts), F.lit(0))
 
 
 def gray_tables(dims: int) -> tuple[list[int], list[int], list[int]]:
@@ -105,15 +104,24 @@ def curve(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """``df`` with ``curve``: the Hilbert index of its quantised ``dims``.
 
     Cuts are approximate quantiles over all rows: one row with ``2 ** bits - 1``
-    numbers a dimension is what the driver sees.
+    numbers a dimension is what the driver sees. The index is worked out once for
+    each occupied cell, of which there are at most ``2 ** (bits * dims)``, and
+    joined; only up to 65,536 of them are marked for broadcast.
     """
     numbers = {d: surrogate(F.col(f"`{d}`"), df.schema[d].dataType) for d in dims}
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
     found = df.agg(
         *[F.percentile_approx(n, shares, 10_000).alias(f"c{k}") for k, n in enumerate(numbers.values())]
     ).first()
-    cells = [cell(n, found[k] or []) for k, n in enumerate(numbers.values())]
-    return df.withColumn("curve", hilbert_index(cells, bits))
+    names = [f"cell_{k}" for k in range(len(dims))]
+    celled = df.select(
+        "*", *[cell(n, found[k] or []).alias(names[k]) for k, n in enumerate(numbers.values())]
+    )
+    along = celled.select(*names).distinct()
+    along = along.withColumn("curve", hilbert_index([F.col(n) for n in names], bits))
+    if bits * len(dims) <= 16:
+        along = F.broadcast(along)
+    return celled.join(along, names).drop(*names)
 
 
 def hilbert_shards(
