@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm import (
     exact_dedup,
+    factorisation,
     fertility,
     hilbert_shards,
     html_text,
@@ -67,6 +68,12 @@ def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return factorisation.score_quality(docs, labels)
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
