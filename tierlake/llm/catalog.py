@@ -13,6 +13,7 @@ from tierlake.llm import (
     fertility,
     hilbert_shards,
     html_text,
+    jaccard_join,
     line_dedup,
     mixing,
     packing,
@@ -100,3 +101,34 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return documents.drop("copy")
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op10_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+        FROM words WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.other)
+SELECT reach.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY reach.doc_id
+"""
