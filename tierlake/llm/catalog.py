@@ -17,6 +17,7 @@ from tierlake.llm import (
     line_dedup,
     mixing,
     packing,
+    suffix_family,
 )
 from tierlake.llm.common import table
 
@@ -34,6 +35,12 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_family.drop_substrings(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 @query
 def op3_text_to_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
