@@ -1,16 +1,78 @@
 """Documents to training sequences: the corpus operators in a row.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is
-written as Parquet and read again as the next one's ``docs``.
+written as Parquet and read again as the next one's ``docs``. All but the last
+return the columns of ``documents``. Null or empty texts, repeated rows and empty
+tables are treated as each operator's docstring says.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierlake.llm.common import stored, table
+from tierlake.llm import exact_dedup, factorisation, jaccard_join, mixing, packing
+from tierlake.llm.common import broadcast_if_small, stored, table
 
-STAGES = []
+#: Ids sent to every task instead of shuffling the documents.
+BROADCAST_IDS = 500_000
+
+
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is in ``ids`` (``id``); null is an id, too."""
+    ids = broadcast_if_small(stored(ids), BROADCAST_IDS)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine accepts; rows of one id stand or fall by each score."""
+    scores = factorisation.score_quality(docs, table(spark, sf_dir, "labels"))
+    return rows_of(docs, scores.where("predicted = 1").select(F.col("doc_id").alias("id")))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, the one with the largest id."""
+    return exact_dedup.drop_duplicates(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar texts, the one with the smallest id."""
+    found = jaccard_join.jaccard_components(docs)
+    first = F.col("component_id").eqNullSafe(F.col("doc_id"))
+    return rows_of(docs, found.where(first).select(F.col("doc_id").alias("id")))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it.
+
+    A document that the mix takes in part, at most one a source, is there once
+    more if that part is at least half of it. Documents without words are not
+    in the mix.
+    """
+    taken, _ = mixing.mix(docs)
+    times = taken.select(
+        F.col("doc_id").alias("id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("n")
+    ).where("n > 0")
+    # Rows that share an id are documents of their own; each takes its mean share.
+    times = times.groupBy("id").agg(F.round(F.avg("n")).cast("int").alias("n"))
+    times = broadcast_if_small(stored(times), BROADCAST_IDS)
+    repeated = docs.join(times, F.col("doc_id").eqNullSafe(F.col("id")))
+    copies = F.explode(F.sequence(F.lit(1), F.greatest("n", F.lit(1)))).alias("turn")
+    return repeated.select(*[docs[f"`{c}`"] for c in docs.columns], copies).drop("turn")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: where each piece of each document goes."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact),
+    ("n-gram Jaccard join", near),
+    ("mixing sources to target weights", mix),
+    ("best-fit packing", pack),
+]
 
 #: SQL cannot train the classifier; tests hold the stages against brute force.
 ORACLE_SQL = None
