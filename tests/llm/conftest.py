@@ -1,0 +1,67 @@
+import random
+
+import pytest
+
+# Names that the operators use inside; a table may have them, too.
+CLASHING = (
+    "norm digest keep_id row key fp n size place part component rep copy start windows count "
+    "member id curve band label score"
+).split()
+
+
+def prose(rng, words, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}x" for _ in range(words))
+
+
+def messy_rows():
+    """``(doc_id, text, lang, source, n_chars)`` with every awkward case there is."""
+    rng = random.Random(5)
+    base = [prose(rng, 120) for _ in range(12)]
+    shared = prose(rng, 40)
+    texts = [*base]
+    texts += [t.upper() for t in base[:4]]  # equal after lower-casing
+    texts += [base[4]] * 14  # a large group of copies
+    for k in range(6):  # near copies
+        words = base[5].split()
+        words[10 * k] = f"changed{k}"
+        texts.append(" ".join(words))
+    texts += [f"{prose(rng, 60)}\n {shared} \n{prose(rng, 60)}" for _ in range(12)]
+    texts += [None, None, "", "", " \n\t ", "one", "two words", "a b c d", "a b c d e"]
+    texts += ["\n".join(["same line"] * 5), "É é Ü\n\n x y \x1c z", "#*$%&|<> " * 30]
+    texts += [prose(rng, 30_000, 5_000)]  # very long
+    texts += ["ab" * 2_000, "word " * 300, "tail" + base[6][200:500] + "end"]
+    langs = ["en", "de", None]
+    sources = ["s1", "s2", "s3", "é", None, "s10"]
+    rows = [
+        (k, t, langs[k % 3], sources[k % 6], None if t is None or k % 7 == 0 else len(t))
+        for k, t in enumerate(texts)
+    ]
+    rng.shuffle(rows)
+    return rows
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return messy_rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    """The messy table with extra columns of clashing names."""
+    extra = ", ".join(f"{c} int" for c in CLASHING)
+    data = [(*r, *range(len(CLASHING))) for r in rows]
+    return spark.createDataFrame(data, f"{SCHEMA}, {extra}").repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def twice(spark, rows):
+    """Every row of the messy table two times."""
+    return spark.createDataFrame(rows + rows, SCHEMA).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import pytest
+
+from tierlake.llm.line_dedup import Cuckoo, LineIndex, digest, drop_repeated_lines, halves
+
+BLANKS = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def expected(rows, min_docs, corpus=None):
+    held = {}
+    for r in corpus or rows:
+        for key in {x.strip(BLANKS).translate(LOWER) for x in (r[1] or "").split("\n")}:
+            held[key] = held.get(key, 0) + 1
+    out = {}
+    for r in rows:
+        lines = (r[1] or "").split("\n")
+        keys = [x.strip(BLANKS).translate(LOWER) for x in lines]
+        kept = [x for x, k in zip(lines, keys, strict=True) if not k or held[k] < min_docs]
+        out[r[0]] = (len(lines), len(lines) - len(kept), "\n".join(kept))
+    return out
+
+
+def found(df):
+    return {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in df.collect()}
+
+
+@pytest.mark.parametrize("min_docs", [2, 10])
+def test_matches_brute_force(docs, rows, min_docs):
+    assert found(drop_repeated_lines(docs, min_docs)) == expected(rows, min_docs)
+
+
+def test_without_filters(spark, docs, rows):
+    index = LineIndex(spark, min_docs=10, max_filter_bytes=0)
+    index.insert(docs)
+    assert found(index.drop(docs)) == expected(rows, 10)
+
+
+def test_insertions_and_deletions(spark, docs, rows):
+    third = [docs.where(f"doc_id % 3 = {k}") for k in range(3)]
+    index = LineIndex(spark, min_docs=4, shards=3)
+    for part in third:
+        index.insert(part)
+    assert found(index.drop(docs)) == expected(rows, 4)
+    index.delete(third[1])
+    left = [r for r in rows if r[0] % 3 != 1]
+    assert found(index.drop(third[0].unionByName(third[2]))) == expected(left, 4)
+    index.insert(third[1])
+    assert found(index.drop(docs)) == expected(rows, 4)
+    for part in third:
+        index.delete(part)
+    assert index.refs.count() == 0
+
+
+def test_repeats_nulls_and_empty(spark, twice, rows, nothing):
+    result = drop_repeated_lines(twice, 20)
+    assert result.count() == 2 * len(rows)
+    assert found(result) == expected(rows, 20, rows + rows)
+    assert drop_repeated_lines(nothing).collect() == []
+    table = spark.createDataFrame([(None, None)], "doc_id long, text string")
+    assert [tuple(r) for r in drop_repeated_lines(table, 1).collect()] == [(None, 1, 0, "")]
+
+
+def test_cuckoo_filter():
+    rng = random.Random(3)
+    keys = [digest(str(rng.random()).encode()) for _ in range(5_000)]
+    low = [int(x) for x in halves(keys)[1]]
+    held = Cuckoo.sized(len(low))
+    assert all(held.add(k) for k in low)
+
+    def has(values):
+        prints, first, second = Cuckoo.places(np.array(values, dtype=np.uint64), held.buckets)
+        pairs = held.table[np.stack([first, second]).astype(int)]
+        return (pairs == prints[None, :, None]).any(axis=(0, 2))
+
+    assert has(low).all()
+    for k in low[:2_500]:
+        held.remove(k)
+    assert has(low[2_500:]).all()
+    assert has(low[:2_500]).mean() < 0.01
