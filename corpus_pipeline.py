@@ -50,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     in the mix.
     """
     taken, _ = mixing.mix(docs)
-    times = taken.select(
+    times = taken.where("size > 0").select(
         F.col("doc_id").alias("id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("n")
     ).where("n > 0")
     # Rows that share an id are documents of their own; each takes its mean share.

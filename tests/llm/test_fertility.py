@@ -1,0 +1,96 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from tokenizers import Tokenizer
+
+from tierlake.llm.fertility import fertility, script_of
+from tierlake.llm.vocabularies import BYTE_BPE, byte_bpe, byte_ranks, piece_bpe
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup_lines = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup_lines += line in seen
+            seen.add(line)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        dup_lines,
+        len(covered),
+    )
+
+
+def metrics(text):
+    model, is_byte = piece_bpe()
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    words = WORD.findall(text)
+    tokens = [i for w in words for i in tokenizer.encode(" " + w, add_special_tokens=False).ids]
+    pieces = [i for w in words for i in model.encode(w)]
+    times = Counter(tokens)
+    bits = -sum(n / len(tokens) * math.log2(n / len(tokens)) for n in times.values())
+    return (
+        sum(map(len, words)) / len(tokens),
+        sum(bool(is_byte[i]) for i in pieces) / len(pieces),
+        bits / math.log2(len(tokens)) if len(tokens) > 1 else 0.0,
+    )
+
+
+def test_counts_and_metrics_match_brute_force(docs, rows):
+    text = {r[0]: r[1] for r in rows}
+    result = fertility(docs).collect()
+    assert sorted(r.doc_id for r in result) == sorted(text)
+    for r in result:
+        want = base(text[r.doc_id])
+        assert want == (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r.base_failed and r.kept)
+        got = r.chars_per_token, r.byte_share, r.entropy
+        if want[0]:
+            assert got == pytest.approx(metrics(text[r.doc_id]))
+        else:
+            assert got == (None, None, None)
+
+
+def test_bands_reject_what_is_odd_for_the_language(spark, rows):
+    plain = [(k, f"{r[1]} {k}", "en") for k, r in enumerate(rows) if r[0] < 12 for _ in range(3)]
+    odd = " ".join("ŵ" + hex(k * 7919)[2:] + "ß#" for k in range(600))
+    table = spark.createDataFrame([*plain, (900, odd, "en"), (901, odd, "xx")], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in fertility(table).collect()}
+    assert not kept.pop(900)
+    assert all(kept.values())  # alone in its language, 901 is its own measure
+
+
+def test_script_stands_in_for_a_null_language(spark):
+    assert [script_of(t) for t in ("abc é", "абв a", "123", "")] == ["LATIN", "CYRILLIC", "NONE", "NONE"]
+    table = spark.createDataFrame([(None, "абв где", None), (2, None, None)], "doc_id long, text string, lang string")
+    assert {r.band for r in fertility(table).collect()} == {"script:CYRILLIC", "script:NONE"}
+
+
+def test_repeats_and_empty(twice, rows, nothing):
+    result = fertility(twice).collect()
+    assert len(result) == 2 * len(rows)
+    assert len({tuple(r) for r in result}) == len(rows)
+    assert fertility(nothing).collect() == []
+
+
+def test_vocabulary_has_the_ids_of_its_file(rows):
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    tokenizer.encode_special_tokens = True
+    ranks = byte_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    more = ["<|endoftext|> x", "   a\r\n\r\n  b'll", "😀" * 9, "x" * 5_000, " \n\n \t"]
+    for text in [r[1] for r in rows if r[1]] + more:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert byte_bpe().encode_ordinary(text) == ids == ranks.encode_ordinary(text)

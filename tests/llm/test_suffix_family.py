@@ -1,0 +1,97 @@
+import hashlib
+
+import pytest
+
+from tierlake.llm import suffix_family
+from tierlake.llm.suffix_family import SuffixFamily, drop_substrings, keyed
+
+
+def expected(rows, length):
+    seen, out = set(), []
+    for r in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        raw = (r[1] or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            window = raw[i : i + length]
+            if window in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(window)
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        out.append((r[0], len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(
+        (
+            (r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest())
+            for r in df.collect()
+        ),
+        key=repr,
+    )
+
+
+@pytest.fixture(scope="module")
+def want(rows):
+    return expected(rows, 100)
+
+
+@pytest.mark.parametrize("batches", [1, 3, 6])
+def test_matches_brute_force(docs, want, batches):
+    assert found(drop_substrings(docs, batches=batches)) == want
+
+
+def test_contexts_compared_by_spark(docs, want, monkeypatch):
+    monkeypatch.setattr(suffix_family, "GROUP", 1)
+    assert found(drop_substrings(docs)) == want
+
+
+def test_shuffled_instead_of_sent(docs, want, monkeypatch):
+    monkeypatch.setattr(suffix_family, "BROADCAST_CONTEXTS", 0)
+    monkeypatch.setattr(suffix_family, "BROADCAST_DOCS", 0)
+    assert found(drop_substrings(docs)) == want
+
+
+def test_long_documents_in_segments(docs, want, monkeypatch):
+    monkeypatch.setattr(suffix_family, "SEGMENT", 1000)
+    assert found(drop_substrings(docs)) == want
+
+
+def test_other_lengths(docs, rows):
+    assert found(drop_substrings(docs, length=40)) == expected(rows, 40)
+
+
+def test_repeats_nulls_and_empty(spark, twice, rows, nothing):
+    result = found(drop_substrings(twice))
+    assert len(result) == 2 * len(rows)
+    by_id = {}
+    for r in result:
+        by_id.setdefault(r[0], []).append(r[2])
+    # Of two equal rows the later one loses all it can.
+    for r in rows:
+        size = len((r[1] or "").encode())
+        assert max(by_id[r[0]]) == (size if size >= 100 else 0)
+    assert drop_substrings(nothing).collect() == []
+    long = "x1y2" * 50
+    table = spark.createDataFrame([(1, long), (None, long), (0, None)], "doc_id long, text string")
+    assert found(drop_substrings(table)) == expected([(1, long), (None, long), (0, None)], 100)
+
+
+def test_text_ids(spark, rows):
+    some = [(f"d{r[0]:03}", r[1]) for r in rows]
+    table = spark.createDataFrame(some, "doc_id string, text string")
+    assert found(drop_substrings(table)) == expected(some, 100)
+
+
+def test_levels_merge_like_a_binary_counter(spark, docs):
+    family = SuffixFamily(spark)
+    table = keyed(docs, "doc_id", "text")
+    ranks = []
+    for k in range(5):
+        family.add(table.where(f"doc_id div 20 = {k}"))
+        ranks.append([rank for rank, _ in family.levels])
+    assert ranks == [[0], [1], [1, 0], [2], [2, 0]]
+    # Every suffix is in one level, once.
+    held = family.levels[0][1].unionByName(family.levels[1][1])
+    assert held.count() == held.select("fp", "context").distinct().count()

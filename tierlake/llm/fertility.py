@@ -19,7 +19,9 @@ every distinct word of a batch is cut once.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,8 @@ METRICS = "chars_per_token", "byte_share", "entropy"
 SCATTER = 200
 #: Words whose cut a worker keeps at most.
 CACHE = 200_000
+#: Characters of texts whose words are cut together.
+CHUNK = 2_000_000
 #: Bands sent to every task instead of shuffling; there is one a language.
 BAND_ROWS = 10_000
 
@@ -68,20 +72,24 @@ class Cutter:
         self.model, self.is_byte = piece_bpe(piece_path)
         self.cache: dict[bytes, tuple[bytes, int, int]] = {}
 
-    def __call__(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
-        """Per word: byte-level ids, sentencepiece tokens, and how many of those are bytes."""
+    def learn(self, words: set[bytes]) -> None:
+        """Cut the words that are not known yet, all in one call: calls are dear."""
         cache = self.cache
+        if len(cache) + len(words) > CACHE:
+            cache.clear()
         new = [w for w in words if w not in cache]
-        if new:
-            if len(cache) + len(new) > CACHE:
-                cache.clear()
-                new = words
-            plain = [w.decode() for w in new]
-            cuts = self.model.encode(plain, num_threads=1)
-            for word, text, pieces in zip(new, plain, cuts, strict=True):
-                ids = np.array(self.encode(" " + text), dtype="<u4").tobytes()
-                cache[word] = ids, len(pieces), int(self.is_byte[pieces].sum())
-        return [cache[w] for w in words]
+        if not new:
+            return
+        plain = [w.decode() for w in new]
+        pieces = self.model.encode(plain, num_threads=1)
+        sizes = np.array([len(p) for p in pieces])
+        flat = np.fromiter(itertools.chain.from_iterable(pieces), dtype=np.int64, count=sizes.sum())
+        upto = np.concatenate(([0], np.cumsum(self.is_byte[flat])))
+        ends = np.cumsum(sizes)
+        in_bytes = (upto[ends] - upto[ends - sizes]).tolist()
+        encode = self.encode
+        for word, text, size, single in zip(new, plain, sizes.tolist(), in_bytes, strict=True):
+            cache[word] = array("I", encode(" " + text)).tobytes(), size, single
 
 
 def script_of(text: str) -> str:
@@ -94,18 +102,31 @@ def script_of(text: str) -> str:
     return min(counts, key=lambda k: (-counts[k], k)) if counts else "NONE"
 
 
+def chunks(frame: pd.DataFrame, cut: Cutter) -> Iterator[tuple]:
+    """``doc_id, lang, text, words`` of each row, once its words are known to ``cut``."""
+    held, size = [], 0
+    for row in zip(frame["doc_id"], frame["lang"], frame["text"], strict=True):
+        text = row[2] or ""
+        held.append((*row[:2], text, text.encode().split()))  # at the six blanks, as bytes
+        size += len(text)
+        if size > CHUNK:
+            cut.learn({w for row in held for w in row[3]})
+            yield from held
+            held, size = [], 0
+    cut.learn({w for row in held for w in row[3]})
+    yield from held
+
+
 def measure(frame: pd.DataFrame, cut: Cutter) -> pd.DataFrame:
     out = []
-    for doc_id, lang, text in zip(frame["doc_id"], frame["lang"], frame["text"], strict=True):
-        text = text or ""
-        words = text.encode().split()  # at the six blanks, as bytes
+    for doc_id, lang, text, words in chunks(frame, cut):
         numbers: dict[bytes, int] = {}
         ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64)
         base = base_counts(text, words, ids, len(numbers))
         chars, shares, entropy = None, None, None
         if words:
             times = np.bincount(ids)
-            cuts = cut(list(numbers))
+            cuts = [cut.cache[w] for w in numbers]
             tokens = np.frombuffer(b"".join(c[0] for c in cuts), dtype="<u4")
             weight = np.repeat(times, [len(c[0]) // 4 for c in cuts])
             pieces = times @ np.array([c[1] for c in cuts])
@@ -169,7 +190,7 @@ def fertility(
             for k, side in enumerate(("low", "high"))
         ],
     )
-    spread = F.lit(width) * F.sqrt(1 + F.lit(SCATTER) / F.col("n_words"))
+    spread = F.lit(width) * F.sqrt(1 + F.lit(SCATTER) / F.greatest(F.col("n_words"), F.lit(1)))
     inside = F.lit(True)
     for m in METRICS:
         low, high = F.col(f"low_{m}"), F.col(f"high_{m}")

@@ -235,11 +235,14 @@ def main_text(html: str | None) -> str:
     able = np.array([not x.noise for x in lines], dtype=bool)
     if not able.any():
         return ""
-    score = smoothed(ratios(lines))
+    own = ratios(lines)
+    score = smoothed(own)
     cluster = able & (score >= score.std())
     if not cluster.any():
         cluster = able & (score >= score[able].max())
-    reached = [x for x, c in zip(lines, cluster, strict=True) if c]
+    # A menu beside a long paragraph is raised by it, but has no such line itself.
+    strong = cluster & (own >= score.std())
+    reached = [x for x, c in zip(lines, strong if strong.any() else cluster, strict=True) if c]
     best = max(x.marked for x in reached)
     if not best:  # the cluster may have missed a short article
         best = max(x.marked for x, a in zip(lines, able, strict=True) if a)

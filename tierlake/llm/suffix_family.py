@@ -15,7 +15,7 @@ stand for the same windows, so the later one is a repetition as a whole. Where
 only the anchor agrees, a match begins or ends in between; the bytes of those
 contexts are fetched and compared window by window.
 
-Within one Arrow batch a repetition is known at once. It is not sorted with its
+Within one slice of a task's documents a repetition is known at once. It is not sorted with its
 first occurrence, so a passage in a third of all documents is a few rows a task.
 """
 
@@ -38,10 +38,12 @@ BATCHES = 3
 #: Contexts of one anchor that one task compares; more are compared by Spark.
 GROUP = 2048
 #: Contexts a task compares at a time, over many anchors.
-BUCKET = 20_000
+BUCKET = 5_000
 #: Contexts, and documents with spans, sent to every task instead of shuffling texts.
 BROADCAST_CONTEXTS = 2_000_000
 BROADCAST_DOCS = 500_000
+#: Bytes of texts whose suffixes a task holds at a time, or one longer text.
+SLICE = 8 << 20
 SEGMENT = 1 << (PLACE_BITS - 2)
 
 
@@ -113,7 +115,7 @@ class SuffixFamily:
         kind = batch.schema["doc_id"].dataType.simpleString()
 
         def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
+            for frame in sliced(frames):
                 frame = frame.sort_values(["doc_id", "copy"], na_position="first", ignore_index=True)
                 found = suffixes(frame, length)
                 row = found.pop("row").to_numpy(dtype=np.int64)
@@ -277,6 +279,14 @@ class SuffixFamily:
         return [cold, hot]
 
 
+def sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The same rows in frames of about ``SLICE`` characters."""
+    for frame in frames:
+        size = frame["text"].str.len().fillna(0).cumsum()
+        for _, part in frame.groupby((size // SLICE).to_numpy(), sort=False):
+            yield part
+
+
 def tagged(suffixes: DataFrame, **flags: bool) -> DataFrame:
     return suffixes.withColumns({name: F.lit(value) for name, value in flags.items()})
 
