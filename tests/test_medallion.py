@@ -5,10 +5,12 @@ import os
 
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from tierlake import Medallion, read_layer, run, with_empty_flag
 from tierlake.__main__ import main
-from tierlake.config import azure_settings, azure_uri, load_job, setting
+from tierlake.config import azure_settings, load_job, setting
+from tierlake.operators.pages import PagesEnd, UnfinishedPages
 from tierlake.plans.medallion import row_counts
 
 EXAMPLE = os.path.join(os.path.dirname(__file__), "..", "examples", "breweries.json")
@@ -91,6 +93,46 @@ def test_a_malformed_page_leaves_all_layers(spark, job):
     assert read_layer(spark, job.bronze, job.schema).count() == 5
 
 
+def test_the_end_is_reported_and_enforced(spark, job, caplog):
+    land(spark, job, good_bodies())
+    assert run(spark, job)["bronze"].end == PagesEnd(2, 200, "empty")
+    land(spark, job, good_bodies()[:2])
+    strict = Medallion(**{**vars(job), "on_bad_page": "fail"})
+    with pytest.raises(UnfinishedPages, match="page 2 is missing"):
+        run(spark, strict)
+    assert gold(spark, job) == EXPECTED
+    assert run(spark, job)["bronze"].end == PagesEnd(2, None, "missing")
+    assert "pages end at 2: missing" in caplog.text
+
+
+def test_json_lines_are_read_once(spark, job, monkeypatch):
+    rows = [json.dumps({"page": k, "status": 200, "body": b}) for k, b in enumerate(good_bodies())]
+    os.makedirs(job.pages)
+    with open(os.path.join(job.pages, "p.json"), "w") as file:
+        file.write("\n".join(rows))
+    job = Medallion(**{**vars(job), "page_format": "json"})
+    plans = []
+    original = Medallion.bronze_frame
+
+    def kept(self, pages, end=None):
+        frame = original(self, pages, end)
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return frame
+
+    monkeypatch.setattr(Medallion, "bronze_frame", kept)
+    assert run(spark, job)["bronze"].rows == 5
+    assert gold(spark, job) == EXPECTED
+    # Bronze comes from the flagged table alone, which is gone afterwards.
+    assert "FileScan json" not in plans[0] and plans[0].count("FileScan parquet") == 1
+    assert "LessThan(page,2)" in plans[0]
+    assert [n for n in os.listdir(os.path.dirname(job.bronze)) if n.startswith("_")] == []
+    with open(os.path.join(job.pages, "p.json"), "a") as file:
+        file.write('\n{"page": 9, "sta')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        run(spark, job)
+    assert gold(spark, job) == EXPECTED
+
+
 def test_no_pages_give_empty_layers(spark, job):
     land(spark, job, ["[]"])
     assert {layer: result.rows for layer, result in run(spark, job).items()} == {
@@ -136,8 +178,6 @@ def test_command_line(spark, job, tmp_path, capfd, monkeypatch):
 
 def test_settings():
     assert setting("A", "x", {"A": ""}) == "x" and setting("A", "x", {"A": "y"}) == "y"
-    assert azure_uri("acct", "silver", "/b/") == "wasbs://silver@acct.blob.core.windows.net/b"
-    assert azure_uri("acct", "s", "b", "abfss") == "abfss://s@acct.dfs.core.windows.net/b"
     assert azure_settings("acct", "k") == {
         "spark.hadoop.fs.azure.account.key.acct.blob.core.windows.net": "k"
     }

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from tierlake import end_of_pages, read_records, take_pages, union_pages, with_empty_flag
+from tierlake.operators.pages import PagesEnd, UnfinishedPages, find_end
 
 PAGES = "page BIGINT, status INT, body STRING"
 RECORD = T.StructType().add("id", "string").add("lon", "double").add("n", "integer")
@@ -51,14 +52,44 @@ def test_any_other_status_ends_the_pages(spark, status):
 
 def test_a_bad_status_can_fail(spark):
     df = pages(spark, page(0, "a"), page(1, "b", status=500), page(2, "c"))
-    with pytest.raises(PySparkException, match="page 1 has status 500"):
-        ingest(df, on_bad_page="fail").collect()
+    with pytest.raises(UnfinishedPages, match="page 1 has status 500"):
+        ingest(df, on_bad_page="fail")
+    with pytest.raises(UnfinishedPages, match="page 1 is missing"):
+        ingest(pages(spark, page(0, "a"), page(2, "b")), on_bad_page="fail")
     after_the_end = pages(spark, page(0, "a"), (1, 200, "[]"), (2, 500, None))
     assert ids(ingest(after_the_end, on_bad_page="fail")) == ["a"]
     with pytest.raises(ValueError):
         take_pages(df, on_bad_page="skip")
 
 
+@pytest.mark.parametrize(
+    "rows, end",
+    [
+        ([page(0, "a"), (1, 200, "[]")], PagesEnd(1, 200, "empty")),
+        ([page(0, "a"), (1, 503, None), page(2, "b")], PagesEnd(1, 503, "refused")),
+        ([page(0, "a"), (1, None, "[]")], PagesEnd(1, None, "refused")),
+        ([page(0, "a"), (1, 200, "[]"), (1, 500, None)], PagesEnd(1, 500, "refused")),
+        ([page(0, "a"), page(2, "b")], PagesEnd(1, None, "missing")),
+        ([page(3, "a")], PagesEnd(0, None, "missing")),
+        ([], PagesEnd(0, None, "missing")),
+    ],
+)
+def test_where_pages_end_and_why(spark, rows, end):
+    assert find_end(pages(spark, *rows)) == end
+
+
+def test_a_page_without_a_number_fails(spark):
+    df = pages(spark, page(0, "a"), page(None, "b"), (2, 200, "[]"))
+    with pytest.raises((PySparkException, Py4JJavaError), match="no number"):
+        ingest(df).collect()
+
+
+def test_a_null_flag_is_filled_from_the_body(spark):
+    rows = [(0, 200, '[{"id":"a"}]', None), (1, 200, '[{"id":"b"}]', False), (2, 200, "[]", None)]
+    df = spark.createDataFrame(rows, PAGES + ", empty BOOLEAN")
+    assert ids(ingest(df)) == ["a", "b"] and end_of_pages(df).first().stop == 2
+
+
 def test_a_gap_ends_the_pages(spark):
     assert ids(ingest(pages(spark, page(0, "a"), page(2, "b")))) == ["a"]
     assert ids(ingest(pages(spark, page(1, "a")))) == []

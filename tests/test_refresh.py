@@ -81,6 +81,68 @@ def test_only_data_files(spark, tmp_path):
     assert all(name.lstrip(".").startswith("part-") for name in files(path))
 
 
+class Killed(BaseException):
+    """Nothing runs after it, like a process that is gone."""
+
+
+CALLS = "rename", "delete", "write_text", "make_parent"
+
+
+@pytest.mark.parametrize("swap", ["rename", "pointer"])
+def test_a_kill_between_any_two_calls_leaves_old_or_new_rows(spark, tmp_path, monkeypatch, swap):
+    from tierlake.fs import Files
+
+    original = {name: getattr(Files, name) for name in CALLS}
+    old, new = [(1, "a", "x")], [(2, "b", "y"), (3, "c", "z")]
+    for stop in range(12):
+        path = str(tmp_path / f"{swap}{stop}")
+        refresh(table(spark, *old), path, swap=swap)
+        done = [0]
+
+        def counted(name, limit=stop, done=done):
+            def call(self, *args):
+                if done[0] >= limit:
+                    raise Killed
+                done[0] += 1
+                return original[name](self, *args)
+
+            return call
+
+        for name in CALLS:
+            monkeypatch.setattr(Files, name, counted(name))
+        try:
+            refresh(table(spark, *new), path, swap=swap)
+            finished = True
+        except Killed:
+            finished = False
+        monkeypatch.undo()
+        assert content(spark, path) in ([new] if finished else [old, new])
+        # The next run finds its way, and nothing is left beside the table.
+        refresh(table(spark, *new), path, swap=swap)
+        assert content(spark, path) == new
+        assert [n for n in os.listdir(tmp_path) if n.startswith(f"_{swap}{stop}.")] == []
+        if finished:
+            return
+    raise AssertionError("never finished")
+
+
+def test_a_broken_pointer_is_an_error(spark, tmp_path):
+    path = tmp_path / "layer"
+    refresh(table(spark, (1, "a", "x")), str(path), swap="pointer")
+    pointer = next(p for p in path.iterdir() if p.name.startswith("_current"))
+    assert pointer.read_text() == ""
+    (path / "_current").write_text("")
+    with pytest.raises(ValueError, match="names no run"):
+        content(spark, str(path))
+    (path / "_current").unlink()
+    pointer.unlink()
+    with pytest.raises(FileNotFoundError, match="no pointer"):
+        content(spark, str(path))
+    (path / f"_current.9.run-{'0' * 32}").write_text("")
+    with pytest.raises(FileNotFoundError, match="missing"):
+        content(spark, str(path))
+
+
 def test_unknown_swap(spark, tmp_path):
     with pytest.raises(ValueError), staged(spark, str(tmp_path / "x"), "copy"):
         pass

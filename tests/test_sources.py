@@ -1,5 +1,6 @@
 """Page sources: landed tables, page files, and the fetching source on file URLs."""
 
+import io
 import json
 
 import pytest
@@ -7,7 +8,15 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
-from tierlake import PageSource, land_pages, read_page_files, read_pages, read_records, take_pages
+from tierlake import (
+    PageSource,
+    land_pages,
+    read_page_files,
+    read_pages,
+    read_records,
+    take_pages,
+    with_empty_flag,
+)
 from tierlake.sources import pages as sources
 
 RECORD = T.StructType().add("id", "string")
@@ -50,7 +59,8 @@ def test_fetching_source(spark, tmp_path):
         .load()
     )
     assert pages.rdd.getNumPartitions() == 3
-    assert sorted(r.page for r in pages.collect()) == list(range(2, 12))
+    # Of the tasks for 2-5, 6-9 and 10-11 the last one stops at its first empty page.
+    assert sorted(r.page for r in pages.collect()) == list(range(2, 11))
     assert {r.status for r in pages.collect()} == {200}
 
 
@@ -61,7 +71,8 @@ def test_landing_goes_on_until_the_end_is_in_sight(spark, tmp_path, count, asked
     url = write_pages(files, count, 28)
     assert land_pages(spark, url, target, first_wave=4, pages_per_task=2) == asked
     landed = read_pages(spark, target)
-    assert landed.count() == asked
+    # A task of two pages stops after an empty one.
+    assert landed.count() == count + (asked - count + 1) // 2
     assert read_records(take_pages(landed), RECORD).count() == 3 * count
 
 
@@ -71,7 +82,7 @@ def test_a_failing_fetch_leaves_the_landed_pages(spark, tmp_path):
     url = write_pages(files, 3, 4)
     land_pages(spark, url, target, first_wave=4)
     with pytest.raises((PySparkException, Py4JJavaError)):
-        land_pages(spark, url, target, first_wave=8)
+        land_pages(spark, url, target, first_wave=8, pages_per_task=2)
     assert read_pages(spark, target).count() == 4
 
 
@@ -90,4 +101,75 @@ def test_a_refusal_is_a_page_without_a_body(monkeypatch):
 
     monkeypatch.setattr(sources, "urlopen", refuse)
     reader = sources.PageReader({"url": "http://h/items", "pages": "2"})
-    assert list(reader.read(reader.partitions()[0])) == [(0, 404, None), (1, 404, None)]
+    assert list(reader.read(reader.partitions()[0])) == [(0, 404, None)]
+
+
+class Service:
+    """Answers in turn with the given statuses or bodies, and keeps what it was asked."""
+
+    def __init__(self, *answers):
+        self.answers, self.asked = list(answers), []
+
+    def __call__(self, url, timeout):
+        self.asked.append(int(url.split("page=")[1].split("&")[0]))
+        answer = self.answers.pop(0)
+        if isinstance(answer, int):
+            raise sources.HTTPError(url, answer, "no", None, None)
+        return Answer(answer.encode())
+
+
+class Answer(io.BytesIO):
+    status = 200
+
+
+@pytest.mark.parametrize(
+    "answers, rows, asked",
+    [
+        ([503, 429, '[{"id":"a"}]', "[]"], [(0, 200, '[{"id":"a"}]'), (1, 200, "[]")], [0, 0, 0, 1]),
+        ([503] * 4, [(0, 503, None)], [0] * 4),
+        ([403], [(0, 403, None)], [0]),
+        (["[1]", " { } "], [(0, 200, "[1]"), (1, 200, " { } ")], [0, 1]),
+        (["[1]"] * 3, [(k, 200, "[1]") for k in range(3)], [0, 1, 2]),
+    ],
+)
+def test_busy_services_are_asked_again_and_nothing_after_the_end(monkeypatch, answers, rows, asked):
+    service, waits = Service(*answers), []
+    monkeypatch.setattr(sources, "urlopen", service)
+    monkeypatch.setattr(sources.time, "sleep", waits.append)
+    reader = sources.PageReader({"url": "http://h/items", "pages": "3", "wait": "0.5"})
+    assert list(reader.read(reader.partitions()[0])) == rows
+    assert service.asked == asked
+    assert waits == [0.5 * 2**k for k in range(len(waits))]
+    assert len(waits) == min(3, sum(a in sources.BUSY for a in answers))
+
+
+def test_landing_can_insist_on_an_empty_page(spark, tmp_path):
+    files, target = tmp_path / "files", str(tmp_path / "landed")
+    files.mkdir()
+    url = write_pages(files, 3, 8)
+    land_pages(spark, url, target, first_wave=4, on_bad_page="fail")
+    # Records that go on where a page is empty end there all the same.
+    assert read_records(take_pages(read_pages(spark, target)), RECORD).count() == 9
+    with pytest.raises(ValueError):
+        land_pages(spark, url, target, first_wave=4, on_bad_page="skip")
+    assert read_pages(spark, target).count() == 4
+
+
+def test_a_cut_json_line_fails(spark, tmp_path):
+    lines = [json.dumps({"page": k, "status": 200, "body": '[{"id":"a"}]'}) for k in range(7)]
+    lines[2] = lines[2][:30]
+    (tmp_path / "p.json").write_text("\n".join(lines))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_records(take_pages(read_pages(spark, str(tmp_path), "json")), RECORD).collect()
+
+
+@pytest.mark.parametrize("flagged_first", [True, False])
+def test_files_with_and_without_the_flag(spark, tmp_path, flagged_first):
+    path = str(tmp_path / "p")
+    for turn, flagged in enumerate([flagged_first, not flagged_first]):
+        rows = [(3 * turn + k, 200, json.dumps([{"id": f"{turn}{k}"}])) for k in range(3)]
+        part = spark.createDataFrame(rows, "page BIGINT, status BIGINT, body STRING")
+        part = with_empty_flag(part) if flagged else part
+        part.write.mode("append").parquet(path)
+    records = read_records(take_pages(read_pages(spark, path)), RECORD)
+    assert sorted(r.id for r in records.collect()) == ["00", "01", "02", "10", "11", "12"]

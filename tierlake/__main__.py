@@ -24,6 +24,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     land = commands.add_parser("land", help="fetch the pages of a service")
     land.add_argument("--url", required=True)
     land.add_argument("--per-page", type=int, default=50)
+    land.add_argument("--retries", type=int, default=3, help="of a page that a busy service refuses")
     layers = commands.add_parser("run", help="refresh layers")
     layers.add_argument("--layers", nargs="+", choices=LAYERS, default=list(LAYERS))
     layers.add_argument("--preview", action="store_true", help="show 20 rows of each layer")
@@ -48,7 +49,13 @@ def main(argv: list[str] | None = None) -> None:
     job = load_job(arguments.job, os.environ)
     if arguments.command == "land":
         asked = land_pages(
-            spark, arguments.url, job.pages, per_page=arguments.per_page, swap=job.swap
+            spark,
+            arguments.url,
+            job.pages,
+            per_page=arguments.per_page,
+            swap=job.swap,
+            on_bad_page=job.on_bad_page,
+            retries=arguments.retries,
         )
         log.info("asked for %d pages, landed at %s", asked, job.pages)
         return

@@ -8,24 +8,28 @@ work of every query grows with them. Queries that store something write below
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.fs import Files
 from tierlake.functions.nulls import fill_defaults, null_rows
 from tierlake.functions.numeric import json_field, safe_double, safe_double_variant
 from tierlake.operators.aggregate import count_by
 from tierlake.operators.align import align
-from tierlake.operators.pages import read_records, take_pages, union_pages, with_empty_flag
+from tierlake.operators.pages import (
+    find_end,
+    read_records,
+    take_pages,
+    union_pages,
+    with_empty_flag,
+)
 from tierlake.operators.preview import preview
 from tierlake.plans.medallion import Medallion, row_counts, run
 from tierlake.session import scratch
 from tierlake.sinks.refresh import refresh
 from tierlake.sources.layers import read_layer
-from tierlake.sources.pages import read_pages
+from tierlake.sources.pages import read_page_files, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,10 +67,15 @@ TEXT, REAL, LONG, INT = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerT
 def packed(records: DataFrame, number: Column) -> DataFrame:
     """Records as JSON pages of ``PAGE_SIZE``, by a unique running ``number``.
 
-    A page has at most ``PAGE_SIZE`` records because the number is unique.
+    A page has at most ``PAGE_SIZE`` records because the number is unique; it
+    is an error if it is not, found by counts before any page is put together.
     Null fields are left out of the JSON.
     """
     page = F.floor(number / PAGE_SIZE).cast("bigint")
+    counts = records.groupBy(page.alias("page")).count()
+    facts = counts.agg(F.max("count").alias("most"), F.max("page").alias("last"), F.count("*").alias("n")).first()
+    if facts.n and (facts.most > PAGE_SIZE or facts.last + 1 != facts.n):
+        raise ValueError("the numbers must be unique, from 0 on, without a gap of a page")
     return (
         records.select(page.alias("page"), F.struct(*records.columns).alias("record"))
         .groupBy("page")
@@ -110,7 +119,7 @@ def closing_page(status: int, body: str | None) -> Column:
 
 NATURAL_END = (200, "[]")
 
-EVENT = struct_type(event_id=TEXT, event_type=TEXT, visitor=TEXT, value=REAL, k=REAL)
+EVENT = struct_type(event_id=TEXT, ts=TEXT, event_type=TEXT, visitor=TEXT, value=REAL, k=REAL)
 
 
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +127,7 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     records = events.select(
         "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         F.nullif("event_type", F.lit("error")).alias("event_type"),
         F.when(F.col("value") >= 5, F.col("user_id")).alias("visitor"),
         F.when(F.col("event_type") != "view", F.col("value")).alias("value"),
@@ -129,6 +139,7 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENT_SQL = """
     SELECT CAST(event_id AS VARCHAR) AS event_id,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
            nullif(event_type, 'error') AS event_type,
            CASE WHEN value >= 5 THEN CAST(user_id AS VARCHAR) END AS visitor,
            CASE WHEN event_type <> 'view' THEN value END AS value,
@@ -136,7 +147,8 @@ EVENT_SQL = """
     FROM events"""
 
 EVENT_FILLED_SQL = f"""
-    SELECT event_id, coalesce(event_type, 'TBD') AS event_type, coalesce(visitor, 'TBD') AS visitor,
+    SELECT event_id, coalesce(ts, 'TBD') AS ts,
+           coalesce(event_type, 'TBD') AS event_type, coalesce(visitor, 'TBD') AS visitor,
            coalesce(value, -1.0) AS value, coalesce(k, -1.0) AS k
     FROM ({EVENT_SQL})"""
 
@@ -180,6 +192,52 @@ def paged_stop_on_gap(spark, sf_dir):
     return event_records(spark, landed(spark, event_pages(spark, sf_dir)))
 
 
+@query(EVENT_SQL)
+def paged_mixed_flag(spark, sf_dir):
+    """Half of the pages have the ``empty`` flag, half were landed without it."""
+    path = landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END))
+    pages, mixed = spark.read.parquet(path), f"{scratch(spark)}/mixed"
+    pages.where("page % 2 = 0").write.parquet(mixed)
+    pages.where("page % 2 = 1").drop("empty").write.mode("append").parquet(mixed)
+    return event_records(spark, mixed)
+
+
+@query(EVENT_SQL)
+def paged_fail_mode(spark, sf_dir):
+    """An end that must be, and is, an empty page."""
+    path = landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END))
+    return read_records(take_pages(read_pages(spark, path), on_bad_page="fail"), EVENT)
+
+
+@query(
+    f"""SELECT 'empty' AS cause, ceil(count(*) / {PAGE_SIZE})::BIGINT AS stop, 200 AS status FROM events
+        UNION ALL
+        SELECT 'refused', ceil(count(*) / {PAGE_SIZE})::BIGINT, 503 FROM events
+        UNION ALL
+        SELECT 'missing', ceil(count(*) / {PAGE_SIZE})::BIGINT, NULL FROM events"""
+)
+def paged_end_reason(spark, sf_dir):
+    """Where the events' pages end and why, for three ways to end."""
+    pages = event_pages(spark, sf_dir)
+    found = []
+    for end in (closing_page(*NATURAL_END), closing_page(503, None), None):
+        at = find_end(read_pages(spark, landed(spark, pages, end)))
+        found.append((at.cause, at.stop, at.status))
+    return spark.createDataFrame(found, "cause STRING, stop BIGINT, status INT")
+
+
+@query(EVENT_SQL)
+def paged_files(spark, sf_dir):
+    """One file a page, its number in the path."""
+    path = landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END))
+    files = f"{scratch(spark)}/files"
+    spark.read.parquet(path).select("page", F.col("body").alias("value")).repartition(
+        F.col("page")
+    ).write.partitionBy("page").text(files)
+    pages = read_page_files(spark, files, number=r"/page=(\d+)/")
+    return read_records(take_pages(pages), EVENT)
+
+
 @query(
     """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, nullif(lang, 'de') AS lang, source, n_chars
        FROM documents"""
@@ -223,10 +281,11 @@ NUMBER_SHAPES: dict[str, Callable[[Column], Column]] = {
               TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS signed,
               TRY_CAST(concat(CAST(l_quantity AS VARCHAR), 'E-3') AS DOUBLE) AS exponent,
               TRY_CAST(concat('10', CAST(l_quantity AS VARCHAR)) AS DOUBLE) AS underscore,
-              CAST(NULL AS DOUBLE) AS two_underscores,
-              CAST(NULL AS DOUBLE) AS suffix,
-              CAST(NULL AS DOUBLE) AS hex,
-              CAST(NULL AS DOUBLE) AS two_numbers,
+              TRY_CAST(concat('1__0', CAST(l_quantity AS VARCHAR)) AS DOUBLE) AS two_underscores,
+              TRY_CAST(concat(CAST(l_quantity AS VARCHAR), 'd') AS DOUBLE) AS suffix,
+              TRY_CAST(concat('0x', CAST(l_quantity AS VARCHAR)) AS DOUBLE) AS hex,
+              TRY_CAST(concat(CAST(l_quantity AS VARCHAR), ' ', CAST(l_quantity AS VARCHAR))
+                       AS DOUBLE) AS two_numbers,
               TRY_CAST(l_returnflag AS DOUBLE) AS letter,
               CASE l_linestatus WHEN 'O' THEN CAST('inf' AS DOUBLE) END AS special
        FROM lineitem"""
@@ -252,10 +311,11 @@ def safe_double_shapes(spark, sf_dir):
 def safe_double_words(spark, sf_dir):
     """How many words of each whole text are numbers."""
     documents = table(spark, sf_dir, "documents")
-    words = F.split(F.translate("text", "\n", " "), " ")
-    numbers = F.size(F.filter(words, lambda word: safe_double(word).isNotNull()))
-    return documents.select(
-        "doc_id", numbers.cast("bigint").alias("numbers"), F.size(words).cast("bigint").alias("words")
+    # Split in a projection of its own: both counts then use the one list.
+    split = documents.select("doc_id", F.split(F.translate("text", "\n", " "), " ").alias("list"))
+    numbers = F.size(F.filter("list", lambda word: safe_double(word).isNotNull()))
+    return split.select(
+        "doc_id", numbers.cast("bigint").alias("numbers"), F.size("list").cast("bigint").alias("words")
     )
 
 
@@ -387,14 +447,20 @@ def gold_count_lines(spark, sf_dir):
 )
 def count_ignores_null(spark, sf_dir):
     events = events_with_nulls(spark, sf_dir)
-    return events.groupBy("event_type").agg(
-        F.count("user_id").alias("known"), F.count(F.lit(1)).alias("n")
-    )
+    known = count_by(events, ["event_type"], "user_id", "known")
+    every = count_by(events, ["event_type"], "event_id", "n").withColumnRenamed("event_type", "kind")
+    same = F.col("event_type").eqNullSafe(F.col("kind"))
+    return known.join(every, same).select("event_type", "known", "n")
 
 
-@query("SELECT * FROM (SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 20)")
+@query(
+    """SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate)
+       FROM orders ORDER BY o_orderkey LIMIT 20"""
+)
 def preview_top_n(spark, sf_dir):
-    return preview(table(spark, sf_dir, "orders").drop("o_orderdate"), 20, ["o_orderkey"])
+    orders = table(spark, sf_dir, "orders")
+    dated = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    return preview(dated, 20, ["o_orderkey"])
 
 
 # --- Stored tables ---------------------------------------------------------
@@ -407,6 +473,14 @@ def bronze_roundtrip(spark, sf_dir):
     return read_layer(spark, done.target, documents.schema)
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def sized_files_roundtrip(spark, sf_dir):
+    """At most 100 rows a file."""
+    documents = table(spark, sf_dir, "documents")
+    done = refresh(documents, f"{scratch(spark)}/documents", max_records=100)
+    return read_layer(spark, done.target, documents.schema)
+
+
 @query(EVENTS_FILLED_SQL)
 def partition_roundtrip(spark, sf_dir):
     filled = fill_defaults(events_with_nulls(spark, sf_dir))
@@ -459,11 +533,12 @@ def full_refresh_replaces(spark, sf_dir):
 # --- The layered job -------------------------------------------------------
 
 
-def event_job(spark: SparkSession, sf_dir: str) -> Medallion:
-    pages = landed(spark, event_pages(spark, sf_dir), closing_page(500, None))
+def event_job(spark: SparkSession, sf_dir: str, form: str = "parquet") -> Medallion:
+    pages = landed(spark, event_pages(spark, sf_dir), closing_page(500, None), form)
     base = scratch(spark)
     return Medallion(
         pages=pages,
+        page_format=form,
         bronze=f"{base}/bronze",
         silver=f"{base}/silver",
         gold=f"{base}/gold",
@@ -501,6 +576,17 @@ def medallion_gold(spark, sf_dir):
     return read_layer(spark, job.gold, job.gold_schema)
 
 
+@query(
+    f"""SELECT event_type, visitor, count(event_id) AS event_count
+        FROM ({EVENT_FILLED_SQL}) GROUP BY event_type, visitor"""
+)
+def medallion_json_lines(spark, sf_dir):
+    """The same from pages as JSON lines, which are read once."""
+    job = event_job(spark, sf_dir, "json")
+    run(spark, job)
+    return read_layer(spark, job.gold, job.gold_schema)
+
+
 @query(EVENT_FILLED_SQL)
 def medallion_silver(spark, sf_dir):
     job = event_job(spark, sf_dir)

@@ -16,12 +16,6 @@ def setting(name: str, default: str, environ: Mapping[str, str] = os.environ) ->
     return environ.get(name) or default
 
 
-def azure_uri(account: str, container: str, folder: str, scheme: str = "wasbs") -> str:
-    """A folder of an Azure container, as Hadoop spells it."""
-    host = "blob" if scheme.startswith("wasb") else "dfs"
-    return f"{scheme}://{container}@{account}.{host}.core.windows.net/{folder.strip('/')}"
-
-
 def azure_settings(account: str, key: str, scheme: str = "wasbs") -> dict[str, str]:
     """The session setting that lets Spark into an Azure storage account."""
     host = "blob" if scheme.startswith("wasb") else "dfs"

@@ -6,11 +6,13 @@ end at the first one that is missing, has a status other than 200, or is
 empty; later pages contribute nothing.
 
 Landed pages also carry ``empty BOOLEAN`` (see ``with_empty_flag``). With it
-the search for the end reads three narrow columns and no bodies.
+the search for the end reads three narrow columns and no bodies. Where the flag
+is null, as in files landed without it, the body tells.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,9 +22,9 @@ from pyspark.sql import types as T
 from tierlake.functions.numeric import doubles_from_variants
 
 # The JSON documents a Python program treats as false.
-_EMPTY_BODY = (
-    r'\A[ \t\n\r]*(\[[ \t\n\r]*\]|\{[ \t\n\r]*\}|null|false|""|-?0(\.0+)?([eE][+-]?[0-9]+)?)'
-    r"[ \t\n\r]*\z"
+EMPTY_BODY = (
+    r'[ \t\n\r]*(\[[ \t\n\r]*\]|\{[ \t\n\r]*\}|null|false|""|-?0(\.0+)?([eE][+-]?[0-9]+)?)'
+    r"[ \t\n\r]*"
 )
 # Strict about form, with no limit on the length of a text or a number.
 _STRICT_JSON = {
@@ -37,13 +39,48 @@ _WORD_BITS = 5
 _FULL_WORD = (1 << 32) - 1
 
 
+@dataclass(frozen=True)
+class PagesEnd:
+    """Where the pages end and why.
+
+    ``status`` is that of the page numbered ``stop``, the largest if it was
+    landed more than once, and null if there is none.
+    """
+
+    stop: int
+    status: int | None
+    cause: str
+
+    @property
+    def natural(self) -> bool:
+        """Did an empty page with status 200 end them?"""
+        return self.cause == "empty"
+
+
+class UnfinishedPages(ValueError):
+    """The pages end with a refused or a missing page."""
+
+
+def _empty() -> Column:
+    return F.coalesce(F.col("body").rlike(rf"\A{EMPTY_BODY}\z"), F.lit(False))
+
+
 def with_empty_flag(pages: DataFrame) -> DataFrame:
-    """Add ``empty``: does the body hold no records?"""
-    return pages.withColumn("empty", F.coalesce(F.col("body").rlike(_EMPTY_BODY), F.lit(False)))
+    """Add ``empty``, or fill it where it is null: does the body hold no records?"""
+    known = [F.col("empty")] if "empty" in pages.columns else []
+    return pages.withColumn("empty", F.coalesce(*known, _empty()))
 
 
-def _flagged(pages: DataFrame) -> DataFrame:
-    return pages if "empty" in pages.columns else with_empty_flag(pages)
+def _narrow(pages: DataFrame) -> DataFrame:
+    """``page, status, empty``; bodies are read only where the flag is null.
+
+    Parquet skips the bodies of row groups that have no null flag.
+    """
+    columns = "page", "status", "empty"
+    if "empty" not in pages.columns:
+        return with_empty_flag(pages).select(*columns)
+    known = pages.where("empty is not null").select(*columns)
+    return known.unionByName(with_empty_flag(pages.where("empty is null")).select(*columns))
 
 
 def _good() -> Column:
@@ -53,13 +90,18 @@ def _good() -> Column:
 def end_of_pages(pages: DataFrame) -> DataFrame:
     """One row, one column ``stop``: the first page number without a good page.
 
+    A row without a page number is an error: it may be any page.
+
     Each page says "this number is here" and "the next number is expected";
     ``bit_or`` folds both into one word per 32 numbers before the shuffle, so
     the shuffle carries about 1/32 of the page numbers and no task sees all.
     """
+    numbered = F.when(
+        F.col("page").isNull(), F.raise_error(F.lit("a page has no number")).cast("boolean")
+    ).otherwise(F.col("page") >= 0)
     numbers = (
-        _flagged(pages)
-        .where(F.col("page") >= 0)
+        _narrow(pages)
+        .where(numbered)
         .select(F.col("page").cast("bigint").alias("page"), _good().cast("bigint").alias("here"))
     )
     here = F.struct(F.col("page").alias("n"), "here")
@@ -79,27 +121,52 @@ def end_of_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def take_pages(pages: DataFrame, on_bad_page: str = "stop") -> DataFrame:
-    """The pages before the end.
+def find_end(pages: DataFrame) -> PagesEnd:
+    """The end of ``pages`` and its cause: ``empty``, ``refused`` or ``missing``."""
+    there = F.col("page") == end_of_pages(pages).scalar()
+    row = (
+        _narrow(pages)
+        .agg(
+            F.first(end_of_pages(pages).scalar()).alias("stop"),
+            F.count_if(there).alias("n"),
+            F.max(F.when(there, F.col("status"))).alias("status"),
+            F.count_if(there & ~F.col("status").eqNullSafe(200)).alias("refused"),
+        )
+        .first()
+    )
+    stop = row.stop if row.stop is not None else 0  # no rows at all
+    cause = "refused" if row.refused else "empty" if row.n else "missing"
+    return PagesEnd(stop, row.status, cause)
 
-    A page with a status other than 200 ends the pages like an empty one and
-    the part before it is kept; ``on_bad_page="fail"`` makes it an error.
-    ``pages`` is read twice, so it should be a stored table. The end reaches
-    the second scan as a filter on ``page``, pushed down to Parquet.
-    """
+
+def checked_end(end: PagesEnd, on_bad_page: str) -> PagesEnd:
+    """``end``, or an error if it must be an empty page with status 200 and is not."""
     if on_bad_page not in ("stop", "fail"):
         raise ValueError(f"on_bad_page must be 'stop' or 'fail', not {on_bad_page!r}")
-    pages = _flagged(pages)
-    stop = end_of_pages(pages).scalar()
-    if on_bad_page == "stop":
-        return pages.where((F.col("page") >= 0) & (F.col("page") < stop) & _good())
-    refused = ~F.col("status").eqNullSafe(200)
-    message = F.format_string("page %d has status %d", F.col("page"), F.col("status"))
-    return pages.where((F.col("page") >= 0) & (F.col("page") <= stop)).where(
-        F.when((F.col("page") == stop) & refused, F.raise_error(message).cast("boolean")).otherwise(
-            (F.col("page") < stop) & _good()
-        )
-    )
+    if on_bad_page == "fail" and not end.natural:
+        what = f"has status {end.status}" if end.cause == "refused" else "is missing"
+        raise UnfinishedPages(f"page {end.stop} {what}")
+    return end
+
+
+def take_pages(
+    pages: DataFrame, on_bad_page: str = "stop", end: PagesEnd | None = None
+) -> DataFrame:
+    """The pages before the end.
+
+    A page with a status other than 200, or a missing one, ends the pages like
+    an empty one and the part before it is kept; ``on_bad_page="fail"`` makes
+    it an error, at once. ``pages`` is read twice, so it should be a stored
+    table; an ``end`` that is known already saves the first scan. The end
+    reaches the other scan as a filter on ``page``, pushed down to Parquet.
+    """
+    if end is None and on_bad_page != "stop":
+        end = find_end(pages)
+    if end is not None:
+        checked_end(end, on_bad_page)
+    stop = end_of_pages(pages).scalar() if end is None else F.lit(end.stop).cast("bigint")
+    pages = with_empty_flag(pages)
+    return pages.where((F.col("page") >= 0) & (F.col("page") < stop) & _good())
 
 
 def _wire_type(field: T.StructField) -> T.StructField:
@@ -115,7 +182,9 @@ def read_records(pages: DataFrame, schema: T.StructType) -> DataFrame:
     Missing fields are null, fields outside the schema are dropped, a number
     or truth value in a STRING field is its text, and DOUBLE fields follow
     ``safe_double_variant``. A body that is not exactly one JSON array of
-    objects fails the job. Duplicates are kept.
+    objects fails the job. Duplicates are kept. Of equal keys inside the value
+    of a DOUBLE field the last one counts where ``spark.sql.variant.allowDuplicateKeys``
+    is true, as in ``tierlake.session.SETTINGS``; elsewhere they fail the job.
     """
     record = T.StructType([_wire_type(field) for field in schema.fields])
     # Wrapped in one more array, so that text after the document is an error too.

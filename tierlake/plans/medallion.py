@@ -7,22 +7,33 @@ leaves the layers after it as they were.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+import logging
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tierlake.fs import Files, sibling
 from tierlake.functions.nulls import DEFAULTS, fill_defaults
 from tierlake.names import exact
 from tierlake.operators.aggregate import count_by
-from tierlake.operators.pages import read_records, take_pages
+from tierlake.operators.pages import (
+    PagesEnd,
+    find_end,
+    read_records,
+    take_pages,
+    with_empty_flag,
+)
 from tierlake.sinks.refresh import Refreshed, refresh
 from tierlake.sources.layers import read_layer
 from tierlake.sources.pages import read_pages
 
 LAYERS = ("bronze", "silver", "gold")
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Medallion:
@@ -54,8 +65,8 @@ class Medallion:
         keys = [self.schema[key] for key in self.keys]
         return T.StructType([*keys, T.StructField(self.count_name, T.LongType())])
 
-    def bronze_frame(self, pages: DataFrame) -> DataFrame:
-        return read_records(take_pages(pages, self.on_bad_page), self.schema)
+    def bronze_frame(self, pages: DataFrame, end: PagesEnd | None = None) -> DataFrame:
+        return read_records(take_pages(pages, self.on_bad_page, end), self.schema)
 
     def silver_frame(self, bronze: DataFrame) -> DataFrame:
         columns = (exact(name) for name in self.silver_schema.names)
@@ -65,19 +76,49 @@ class Medallion:
         return count_by(silver, self.keys, self.counted, self.count_name)
 
 
+@contextmanager
+def flagged_pages(spark: SparkSession, job: Medallion) -> Iterator[DataFrame]:
+    """The job's pages as a Parquet table with ``empty`` flags.
+
+    Text has nothing to skip, so it is read once, into a table beside bronze
+    that goes when the block ends; the search for the end then reads narrow
+    columns, and the second scan leaves out what comes after it.
+    """
+    pages = read_pages(spark, job.pages, job.page_format)
+    if job.page_format == "parquet":
+        yield pages
+        return
+    files, landed = Files(spark), sibling(job.bronze.rstrip("/"), "pages")
+    files.make_parent(landed)
+    try:
+        with_empty_flag(pages).write.parquet(landed)
+        yield read_pages(spark, landed)
+    finally:
+        files.delete(landed)
+
+
 def run(
     spark: SparkSession, job: Medallion, layers: Sequence[str] = LAYERS
 ) -> dict[str, Refreshed]:
-    """Refresh the given layers, in order; the row count of each comes with its write."""
+    """Refresh the given layers, in order; the row count of each comes with its write.
+
+    Bronze also tells where its pages ended and why. With
+    ``on_bad_page="fail"`` nothing is written unless that was an empty page.
+    """
     unknown = set(layers) - set(LAYERS)
     if unknown:
         raise ValueError(f"unknown layers {sorted(unknown)}")
     done: dict[str, Refreshed] = {}
     if "bronze" in layers:
-        pages = read_pages(spark, job.pages, job.page_format)
-        done["bronze"] = refresh(
-            job.bronze_frame(pages), job.bronze, max_records=job.max_records, swap=job.swap
-        )
+        with flagged_pages(spark, job) as pages:
+            end = find_end(pages)
+            log.log(
+                logging.INFO if end.natural else logging.WARNING,
+                "pages end at %d: %s, status %s", end.stop, end.cause, end.status,
+            )
+            records = job.bronze_frame(pages, end)
+            written = refresh(records, job.bronze, max_records=job.max_records, swap=job.swap)
+        done["bronze"] = replace(written, end=end)
     if "silver" in layers:
         bronze = read_layer(spark, job.bronze, job.schema)
         done["silver"] = refresh(

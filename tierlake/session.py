@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
+from tierlake.fs import Files
+
 # What the jobs rely on, or run better with, on a large cluster. The master,
 # memory and executor counts belong to the submit command.
 SETTINGS = {
@@ -38,14 +41,21 @@ def builder(app: str, settings: dict[str, str] | None = None) -> SparkSession.Bu
 def scratch(spark: SparkSession) -> str:
     """A fresh folder every executor can reach, under ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder, which
-    goes when Python exits.
+    Only a local session without that setting gets a temporary folder. The
+    folder goes when Python exits.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tierlake-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/tierlake-{uuid.uuid4().hex}"
+        atexit.register(_remove, Files(spark), folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="tierlake-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
+
+
+def _remove(files: Files, folder: str) -> None:
+    with suppress(Exception):  # the gateway may be gone by now
+        files.delete(folder)

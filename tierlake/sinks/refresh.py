@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,9 +13,13 @@ from pyspark.sql import functions as F
 
 from tierlake.fs import Files, sibling
 from tierlake.names import exact
+from tierlake.operators.pages import PagesEnd
 
-# Names the current run of a table that was published with swap="pointer".
-POINTER = "_current"
+# Empty files whose names say which run of a table published with swap="pointer"
+# is the current one: the largest number counts. A file is there or not, so no
+# reader or crash can meet half a pointer.
+POINTER = "_current."
+_POINTER_NAME = re.compile(r"_current\.(\d+)\.(run-[0-9a-f]{32})")
 
 # Leave no marker or summary files beside the data.
 _DATA_FILES_ONLY = {
@@ -25,23 +30,29 @@ _DATA_FILES_ONLY = {
 
 @dataclass(frozen=True)
 class Refreshed:
-    """A published table and the number of rows this run wrote to it."""
+    """A published table and the number of rows this run wrote to it.
+
+    Of a table made from pages, ``end`` says where those ended and why.
+    """
 
     target: str
     rows: int
+    end: PagesEnd | None = None
 
 
 @contextmanager
 def staged(spark: SparkSession, target: str, swap: str = "rename") -> Iterator[str]:
     """A path to write to; it becomes ``target`` if the block succeeds.
 
-    If the block fails, ``target`` keeps what it had.
+    If the block fails, ``target`` keeps what it had. If the process is killed,
+    readers find what ``target`` had or what it should have, and the next call
+    clears away what is left. Two calls for one target must not overlap.
 
     ``swap="rename"`` moves the new folder into place: two renames, for file
     systems where a folder rename is a metadata change (HDFS, ABFS, local).
     ``swap="pointer"`` is for object stores, where a rename copies every byte:
-    data stays in ``target/run-<id>`` and a one-line file names the current
-    run. The run before it is kept for readers that have begun; older ones go.
+    data stays in ``target/run-<id>`` and an empty file names the current run.
+    The run before it is kept for readers that have begun; older ones go.
     Read such a table with ``read_layer``.
     """
     if swap not in ("rename", "pointer"):
@@ -51,6 +62,8 @@ def staged(spark: SparkSession, target: str, swap: str = "rename") -> Iterator[s
     run = f"run-{uuid.uuid4().hex}"
     staging = sibling(target, "new") if swap == "rename" else f"{target}/{run}"
     files.make_parent(staging)
+    if swap == "rename":
+        _recover(files, target)
     try:
         yield staging
     except BaseException:
@@ -58,6 +71,8 @@ def staged(spark: SparkSession, target: str, swap: str = "rename") -> Iterator[s
         raise
     if swap == "rename":
         _swap_by_rename(files, staging, target)
+        for name in leftovers(files, target, "old") + leftovers(files, target, "new"):
+            files.delete(name)
     else:
         _swap_by_pointer(files, run, target)
 
@@ -76,12 +91,45 @@ def _swap_by_rename(files: Files, staging: str, target: str) -> None:
     files.delete(retired)
 
 
+def leftovers(files: Files, target: str, label: str) -> list[str]:
+    """Folders that a killed run left beside ``target``."""
+    parent, slash, name = target.rpartition("/")
+    pattern = re.compile(rf"_{re.escape(name)}\.{label}-[0-9a-f]{{32}}")
+    names = files.children(parent or slash or ".")
+    return [f"{parent}{slash}{name}" for name in names if pattern.fullmatch(name)]
+
+
+def _recover(files: Files, target: str) -> None:
+    """Put back a table that a killed run had moved aside."""
+    old = leftovers(files, target, "old")
+    if old and not files.exists(target):
+        if len(old) > 1:
+            raise RuntimeError(f"{target} is missing and {len(old)} old versions are beside it")
+        files.rename(old[0], target)
+
+
+def current_run(names: list[str], target: str) -> tuple[int, str | None]:
+    """Number and folder of the current run, from the names in a table's folder."""
+    found = []
+    for name in names:
+        if name.startswith(POINTER.rstrip(".")):
+            match = _POINTER_NAME.fullmatch(name)
+            if not match:
+                raise ValueError(f"{target}/{name} names no run")
+            found.append((int(match[1]), match[2]))
+    number, run = max(found, default=(0, None))
+    if run is not None and run not in names:
+        raise FileNotFoundError(f"{target}/{run}, the current run, is missing")
+    return number, run
+
+
 def _swap_by_pointer(files: Files, run: str, target: str) -> None:
-    pointer = f"{target}/{POINTER}"
-    previous = files.read_text(pointer).strip() if files.exists(pointer) else None
-    files.write_text(pointer, run)
-    for name in files.children(target):
-        if name not in (run, previous, POINTER):
+    number, previous = current_run(files.children(target), target)
+    pointer = f"{POINTER}{number + 1}.{run}"
+    files.write_text(f"{target}/{pointer}", "")
+    # Pointers first: one without its run would be an error.
+    for name in sorted(files.children(target)):
+        if name not in (run, previous, pointer):
             files.delete(f"{target}/{name}")
 
 
@@ -101,8 +149,8 @@ def refresh(
     With it the rows go to ``<column>=<value>`` folders. ``cluster=True``
     asks Spark to rebalance by the column first: small values share a task, and
     a value far over ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is
-    split over many tasks, so one value with a third of all rows does not end
-    up in one task. ``cluster=False``, or a session without adaptive execution,
+    split between the tasks it came from, so that one value with a third of all
+    rows ends up in many tasks, unless one task had read all of it. ``cluster=False``, or a session without adaptive execution,
     skips that shuffle; each task then writes one file per value it meets,
     which is the cheaper plan for columns with few values and large input
     splits.

@@ -7,15 +7,28 @@ from pyspark.sql import types as T
 
 from tierlake.fs import Files
 from tierlake.names import exact
-from tierlake.sinks.refresh import POINTER
+from tierlake.sinks.refresh import current_run, leftovers
 
 
 def layer_path(spark: SparkSession, target: str) -> str:
-    """Where the current files of ``target`` are."""
+    """Where the current files of ``target`` are.
+
+    That is ``target``, the run its pointer names, or, if a refresh was killed
+    between two renames, the folder it had moved aside.
+    """
     target = target.rstrip("/")
     files = Files(spark)
-    pointer = f"{target}/{POINTER}"
-    return f"{target}/{files.read_text(pointer).strip()}" if files.exists(pointer) else target
+    names = files.children(target)
+    _, run = current_run(names, target)
+    if run is not None:
+        return f"{target}/{run}"
+    if any(name.startswith("run-") for name in names):
+        raise FileNotFoundError(f"{target} has runs, but no pointer to the current one")
+    if not names and not files.exists(target):
+        old = leftovers(files, target, "old")
+        if len(old) == 1:
+            return old[0]
+    return target
 
 
 def read_layer(
@@ -25,7 +38,9 @@ def read_layer(
 
     A declared schema keeps folder-name columns in their place and type
     (``08`` stays text), and makes a table without files readable. Without one
-    Spark infers it, and folder-name columns come last.
+    Spark infers it, folder-name columns come last, and they are text only where
+    ``spark.sql.sources.partitionColumnTypeInference.enabled`` is false, as in
+    ``tierlake.session.SETTINGS``.
     """
     path = layer_path(spark, target)
     reader = spark.read.option("basePath", path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Iterator
 from urllib.error import HTTPError
 from urllib.parse import urlencode
@@ -11,25 +13,35 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tierlake.operators.pages import _good, with_empty_flag
+from tierlake.operators.pages import (
+    EMPTY_BODY,
+    _good,
+    checked_end,
+    find_end,
+    with_empty_flag,
+)
 from tierlake.sinks.refresh import staged
 from tierlake.sources.layers import layer_path
 
 PAGE_SCHEMA = "page BIGINT, status INT, body STRING"
-LANDED_SCHEMA = PAGE_SCHEMA + ", empty BOOLEAN"
+# Statuses that ask to come back later (fixed values).
+BUSY = frozenset([429, 500, 502, 503, 504])
 
 
 def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
     """Landed pages: a Parquet table, or page rows in another format such as JSON lines.
 
     A Parquet table from ``land_pages`` has the ``empty`` flag, so that the
-    search for the end need not read bodies; one without it works too.
+    search for the end need not read bodies; files without it, also beside
+    others with it, work too. An unreadable row of another format is an error.
+    ``page`` and ``status`` may be stored as INT or BIGINT.
     """
     path = layer_path(spark, path)
     if format != "parquet":
-        return spark.read.schema(PAGE_SCHEMA).format(format).load(path)
-    flagged = "empty" in spark.read.parquet(path).columns
-    return spark.read.schema(LANDED_SCHEMA if flagged else PAGE_SCHEMA).parquet(path)
+        reader = spark.read.schema(PAGE_SCHEMA).option("mode", "FAILFAST")
+        return reader.format(format).load(path)
+    stored = spark.read.schema("page BIGINT, status BIGINT, body STRING, empty BOOLEAN")
+    return stored.parquet(path).withColumn("status", F.col("status").cast("int"))
 
 
 def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\.json$") -> DataFrame:
@@ -48,10 +60,13 @@ class PageSource(DataSource):
     ``spark.read.format("json_pages").option("url", ...).load()``. Options:
     ``url`` (asked with ``page`` and ``per_page`` parameters, or a template
     with ``{page}`` and ``{per_page}`` in it), ``per_page`` (50), ``first``
-    (0), ``pages`` (how many page numbers to ask for), ``pages_per_task`` (8)
-    and ``timeout`` in seconds (60).
+    (0), ``pages`` (how many page numbers to ask for), ``pages_per_task`` (8),
+    ``timeout`` in seconds (60), ``retries`` of a page that a busy service
+    refuses (3) and ``wait``, the seconds before the first of them (1), which
+    double with each.
 
-    A status other than 200 is a row without a body. A network failure fails
+    A status other than 200 is a row without a body. A task stops at its first
+    refused or empty page: no later page can count. A network failure fails
     the task, which Spark runs again.
     """
 
@@ -80,6 +95,8 @@ class PageReader(DataSourceReader):
         self.end = self.first + int(options["pages"])
         self.pages_per_task = int(options.get("pages_per_task", 8))
         self.timeout = float(options.get("timeout", 60))
+        self.retries = int(options.get("retries", 3))
+        self.wait = float(options.get("wait", 1))
 
     def partitions(self) -> list[InputPartition]:
         step = self.pages_per_task
@@ -90,7 +107,18 @@ class PageReader(DataSourceReader):
 
     def read(self, partition: PageRange) -> Iterator[tuple[int, int, str | None]]:
         for page in range(partition.first, partition.end):
-            yield page, *self._get(page)
+            status, body = self._patiently(page)
+            yield page, status, body
+            if status != 200 or re.fullmatch(EMPTY_BODY, body or ""):
+                return
+
+    def _patiently(self, page: int) -> tuple[int, str | None]:
+        for turn in range(self.retries):
+            status, body = self._get(page)
+            if status not in BUSY:
+                return status, body
+            time.sleep(self.wait * 2**turn)
+        return self._get(page)
 
     def _get(self, page: int) -> tuple[int, str | None]:
         try:
@@ -118,9 +146,15 @@ def land_pages(
     largest_wave: int = 65536,
     pages_per_task: int = 8,
     swap: str = "rename",
+    on_bad_page: str = "stop",
+    retries: int = 3,
+    wait: float = 1,
 ) -> int:
     """Fetch pages until the end is in sight and publish them at ``target``.
 
+    With ``on_bad_page="fail"`` an end other than an empty page with status 200
+    is an error, and ``target`` keeps what it had.
+
     The service does not say how many pages it has, so they are asked for in
     waves that double in size: the driver takes a handful of turns, the
     executors do the fetching and write each page as they get it. Returns how
@@ -134,7 +168,7 @@ def land_pages(
             pages = (
                 spark.read.format("json_pages")
                 .options(url=url, per_page=per_page, first=first, pages=wave)
-                .option("pages_per_task", pages_per_task)
+                .options(pages_per_task=pages_per_task, retries=retries, wait=wait)
                 .load()
             )
             landed = with_empty_flag(pages).observe(
@@ -143,5 +177,7 @@ def land_pages(
             landed.write.mode("append").parquet(staging)
             first += wave
             if seen.get["bad"]:
+                if on_bad_page != "stop":
+                    checked_end(find_end(read_pages(spark, staging)), on_bad_page)
                 return first
             wave = min(wave * 2, largest_wave)
