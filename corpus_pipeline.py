@@ -16,18 +16,20 @@ from tierlake.llm.common import broadcast_if_small, stored, table
 
 #: Ids sent to every task instead of shuffling the documents.
 BROADCAST_IDS = 500_000
+#: A column beside those of ``docs``, whatever their names.
+OWN = "__doc_id"
 
 
 def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in ``ids`` (``id``); null is an id, too."""
-    ids = broadcast_if_small(stored(ids), BROADCAST_IDS)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    """The rows of ``docs`` whose ``doc_id`` is in ``ids``; null is an id, too."""
+    ids = broadcast_if_small(stored(ids.select(F.col("doc_id").alias(OWN))), BROADCAST_IDS)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(OWN)), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine accepts; rows of one id stand or fall by each score."""
     scores = factorisation.score_quality(docs, table(spark, sf_dir, "labels"))
-    return rows_of(docs, scores.where("predicted = 1").select(F.col("doc_id").alias("id")))
+    return rows_of(docs, scores.where("predicted = 1"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar texts, the one with the smallest id."""
     found = jaccard_join.jaccard_components(docs)
     first = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    return rows_of(docs, found.where(first).select(F.col("doc_id").alias("id")))
+    return rows_of(docs, found.where(first))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,14 +53,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     taken, _ = mixing.mix(docs)
     times = taken.where("size > 0").select(
-        F.col("doc_id").alias("id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("n")
-    ).where("n > 0")
-    # Rows that share an id are documents of their own; each takes its mean share.
-    times = times.groupBy("id").agg(F.round(F.avg("n")).cast("int").alias("n"))
-    times = broadcast_if_small(stored(times), BROADCAST_IDS)
-    repeated = docs.join(times, F.col("doc_id").eqNullSafe(F.col("id")))
-    copies = F.explode(F.sequence(F.lit(1), F.greatest("n", F.lit(1)))).alias("turn")
-    return repeated.select(*[docs[f"`{c}`"] for c in docs.columns], copies).drop("turn")
+        F.col("doc_id").alias(OWN), F.floor(F.col("taken") / F.col("size") + 0.5).alias("n")
+    )
+    # Rows that share an id are documents of their own; each takes their mean.
+    times = times.groupBy(OWN).agg(F.round(F.avg("n")).cast("int").alias("n")).where("n > 0")
+    turns = times.select(OWN, F.explode(F.sequence(F.lit(1), "n")))
+    turns = broadcast_if_small(stored(turns.select(OWN)), BROADCAST_IDS)
+    return docs.join(turns, F.col("doc_id").eqNullSafe(F.col(OWN))).drop(OWN)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

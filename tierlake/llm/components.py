@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import stored
+from tierlake.llm.common import broadcast_if_small, stored
+
+#: Nodes that are sent to every task instead of shuffling.
+BROADCAST_NODES = 500_000
 
 
 def components(links: DataFrame, folder: str | None = None) -> DataFrame:
@@ -24,22 +27,24 @@ def components(links: DataFrame, folder: str | None = None) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
         hooks = stored(hooks.select("node", F.least("node", "low").alias("up")), folder)
-        over = hooks.select(F.col("node").alias("up"), F.col("up").alias("up2"))
-        over2 = hooks.select(F.col("node").alias("up2"), F.col("up").alias("up3"))
+        small = broadcast_if_small(hooks, BROADCAST_NODES)
+        over = small.select(F.col("node").alias("up"), F.col("up").alias("up2"))
+        over2 = small.select(F.col("node").alias("up2"), F.col("up").alias("up3"))
         reached = stored(
             hooks.join(over, "up").join(over2, "up2").select("node", F.col("up3").alias("top")),
             folder,
         )
+        small = broadcast_if_small(reached, BROADCAST_NODES)
         if labels is None:
             labels = reached.select("node", F.col("top").alias("component"))
         else:
-            step = reached.select(F.col("node").alias("component"), "top")
+            step = small.select(F.col("node").alias("component"), "top")
             labels = labels.join(step, "component", "left").select(
                 "node", F.coalesce("top", "component").alias("component")
             )
             labels = stored(labels, folder)
-        to_a = reached.select(F.col("node").alias("a"), F.col("top").alias("top_a"))
-        to_b = reached.select(F.col("node").alias("b"), F.col("top").alias("top_b"))
+        to_a = small.select(F.col("node").alias("a"), F.col("top").alias("top_a"))
+        to_b = small.select(F.col("node").alias("b"), F.col("top").alias("top_b"))
         links = links.join(to_a, "a").join(to_b, "b").where("top_a <> top_b")
         links = links.select(
             F.least("top_a", "top_b").alias("a"), F.greatest("top_a", "top_b").alias("b")

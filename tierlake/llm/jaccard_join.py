@@ -19,15 +19,25 @@ How frequent a token is comes from a sketch of ``2 ** SKETCH_BITS`` counters
 over all documents. It overestimates where tokens share a counter; any estimate
 that is the same for all documents gives the right result.
 
+With each key goes its *room*, how many tokens a set can still share from the
+key's place on, plus the extension. A pair of sizes ``m`` and ``n`` overlaps in
+``t / (1 + t) (m + n)`` tokens, more than each side knew alone; the key of its
+first common tokens has that much room in both sets, so other matches are dropped.
+
+Each set also has a bitmap in which every token flips one bit. Common tokens
+cancel out in the exclusive or of two bitmaps, so its bits are at most the
+tokens that only one side has; pairs with too many are never formed.
+
 Candidates are verified on the words themselves. Within the group of a key,
-first everyone is compared with one member, a few times over; then only those
-pairs whose members are still in different components. That is all that
+first everyone is compared with one member, again while that links many; then
+only those pairs whose members are still in different components. That is all that
 components need, and a group of thousands of near copies costs no square.
 Documents with equal sets are one *representative* throughout.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,11 +55,13 @@ WIDTH = 5
 PERCENT = 80
 SKETCH_BITS = 22
 BLOCK_BITS = 16
-#: A token is frequent above this estimate, or four times the mean counter.
+#: A token is frequent above this estimate, or well above the mean counter.
 FREQUENT = 64
 CACHE = 300_000
-#: Rounds of comparing with one member of each group before pairs are formed.
-STARS = 6
+#: Rounds of comparing with one member of each group before pairs are formed, at most.
+STARS = 4
+#: 64-bit words of a set's bitmap.
+BITMAP = 8
 #: Candidate ids that are sent to every task instead of shuffling all texts.
 BROADCAST_ROWS = 500_000
 
@@ -70,28 +82,35 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+class Numbers(dict):
+    """Words to small numbers, and the hash of each number's word."""
+
+    def __init__(self):
+        self.hashes = np.zeros(1024, dtype=np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        if number == len(self.hashes):
+            self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
+        self.hashes[number] = xxhash.xxh3_64_intdigest(word)
+        return number
+
+
 class Shingler:
-    """Hashes of words, kept for a bounded number of them, and of shingles."""
+    """Texts to tokens; hashes are kept for a bounded number of words."""
 
     def __init__(self, width: int):
-        self.width, self.cache = width, {}
+        self.width, self.numbers = width, Numbers()
 
     def __call__(self, text: str | None) -> np.ndarray:
         """The sorted distinct 64-bit tokens of a text."""
         words = words_of(text)
         if not words:
             return np.zeros(0, dtype=np.uint64)
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        try:
-            hashed = [cache[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in cache:
-                    cache[w] = xxhash.xxh3_64_intdigest(w)
-            hashed = [cache[w] for w in words]
-        h = np.array(hashed, dtype=np.uint64)
+        if len(self.numbers) > CACHE:
+            self.numbers = Numbers()
+        at = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        h = self.numbers.hashes[at]
         size = min(self.width, len(h))
         total = np.full(len(h) - size + 1, size, dtype=np.uint64)
         for k in range(size):
@@ -110,31 +129,38 @@ def extension(n: int) -> int:
 
 def keys_of(
     tokens: np.ndarray, sketch: np.ndarray, frequent: float, percent: int
-) -> np.ndarray:
-    """Index keys of a set: its rare prefix tokens and combinations of frequent ones."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of a set with their room: its rare prefix tokens, combinations of frequent ones."""
     n = len(tokens)
     need = overlap_needed(n, percent)
     if need == n == 100 * n // percent:  # similar sets are equal sets
-        return np.zeros(0, dtype=np.uint64)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
     estimate = sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     order = np.lexsort((tokens, estimate))
     tokens, often = tokens[order], estimate[order] > frequent
     prefix = n - need + 1
-    keys = [tokens[:prefix][~often[:prefix]]]
+    place = np.flatnonzero(~often[:prefix])
+    keys, room = [tokens[place]], [n - place]
     if often[:prefix].any():
         for g in {extension(n), extension(need)}:
-            held = tokens[: prefix + g][often[: prefix + g]]
-            colour = held % np.uint64(g)
-            held = held[np.lexsort((held, colour))]
-            colour = held % np.uint64(g)
+            place = np.flatnonzero(often[: prefix + g])
+            colour = tokens[place] % np.uint64(g)
+            by_colour = np.argsort(colour, kind="stable")
+            place, colour = place[by_colour], colour[by_colour]
             # Every two of one colour: neighbours at distance 1, 2, ... while any are left.
-            for apart in range(1, len(held)):
+            for apart in range(1, len(place)):
                 same = colour[apart:] == colour[:-apart]
                 if not same.any():
                     break
-                pair = mixed(held[:-apart][same] + np.uint64(g)) * STEP + held[apart:][same]
-                keys.append(mixed(pair))
-    return np.unique(np.concatenate(keys))
+                one, two = place[:-apart][same], place[apart:][same]
+                keys.append(mixed(mixed(tokens[one] + np.uint64(g)) * STEP + tokens[two]))
+                room.append(n - two + g)
+    return np.concatenate(keys), np.concatenate(room).astype(np.int32)
+
+
+def bitmap_of(tokens: np.ndarray) -> np.ndarray:
+    odd = np.bincount((tokens % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
@@ -187,28 +213,44 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
 
 
 def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, s1, s2, keys``: equal sets have equal ``n_shingles, s1, s2``."""
+    """``doc_id, n_shingles, s1, s2, bits, keys, rooms`` of each row.
+
+    Equal sets have equal ``n_shingles, s1, s2``.
+    """
     sketch, mean = token_sketch(rows, width)
-    frequent = max(FREQUENT, 4 * mean)
+    frequent = max(FREQUENT, 2 * mean + 6 * math.sqrt(mean))
     sent = rows.sparkSession.sparkContext.broadcast(sketch)
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(width)
         for frame in frames:
-            n, s1, s2, keys = [], [], [], []
+            n, s1, s2, bits, keys, rooms = [], [], [], [], [], []
             for text in frame["text"]:
                 tokens = shingle(text)
                 n.append(len(tokens))
                 s1.append(mixed(tokens).sum(dtype=np.uint64).astype(np.int64))
                 s2.append(mixed(tokens ^ STEP).sum(dtype=np.uint64).astype(np.int64))
-                keys.append(keys_of(tokens, sent.value, frequent, percent).view(np.int64))
+                bits.append(bitmap_of(tokens))
+                key, room = keys_of(tokens, sent.value, frequent, percent)
+                keys.append(key.view(np.int64))
+                rooms.append(room)
             yield pd.DataFrame(
-                {"doc_id": frame["doc_id"], "n_shingles": n, "s1": s1, "s2": s2, "keys": keys}
+                {
+                    "doc_id": frame["doc_id"],
+                    "n_shingles": n,
+                    "s1": s1,
+                    "s2": s2,
+                    "bits": bits,
+                    "keys": keys,
+                    "rooms": rooms,
+                }
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(
-        sign, f"doc_id {kind}, n_shingles long, s1 long, s2 long, keys array<long>"
+        sign,
+        f"doc_id {kind}, n_shingles int, s1 long, s2 long, bits array<long>, "
+        "keys array<long>, rooms array<int>",
     )
 
 
@@ -239,7 +281,7 @@ def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, folder
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
-    return stored(found.mapInPandas(compare, f"a {kind}, b {kind}").distinct(), folder)
+    return stored(found.mapInPandas(compare, f"a {kind}, b {kind}"), folder)
 
 
 def jaccard_components(
@@ -256,12 +298,29 @@ def jaccard_components(
     A document of fewer words than ``width`` has its whole word sequence as one
     shingle; one without words, null text included, has none and is linked with
     nothing. A row without a ``doc_id`` is linked with nothing and has no
-    component. Rows that repeat a ``doc_id`` are one document. An empty table
-    gives an empty result.
+    component. Rows that repeat a ``doc_id`` are documents of their own. An
+    empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    folder = scratch(spark)
     rows = texts(docs, id_col, text_col)
+    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count() == 0:
+        return unique_components(rows, width, percent)
+    numbered = stored(rows.withColumn("row", F.monotonically_increasing_id()))
+    parts = []
+    for part in (numbered.where("doc_id is not null"), numbered.where("doc_id is null")):
+        found = unique_components(part.select(F.col("row").alias("doc_id"), "text"), width, percent)
+        found = found.select(F.col("doc_id").alias("row"), "n_shingles", "component_id")
+        parts.append(stored(part.select("row", "doc_id").join(found, "row")))
+    lowest = parts[0].groupBy("component_id").agg(F.min("doc_id").alias("low"))
+    known = parts[0].join(lowest, "component_id").select(
+        "doc_id", "n_shingles", F.col("low").alias("component_id")
+    )
+    return known.unionByName(parts[1].select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """``jaccard_components`` of ``doc_id, text`` rows with different ids."""
+    spark = rows.sparkSession
+    folder = scratch(spark)
     signed = stored(signatures(rows, width, percent), folder)
     able = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     same = "n_shingles", "s1", "s2"
@@ -270,59 +329,69 @@ def jaccard_components(
     first = able.join(
         classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi"
     )
-    posted = first.select(
-        F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
+    posted = posted_keys(
+        first.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "keys", "rooms")
     )
     shared = posted.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     shared = shared.where("low < high").select("key")
-    posted = stored(posted.join(shared, "key"), folder)
+    held = stored(gathered(posted.join(shared, "key")), folder)
 
     links = spark.createDataFrame([], f"a {kind(rows)}, b {kind(rows)}")
-    tried = links
-    labels = None
+    tried, labels, last = links, None, False
     for turn in range(STARS + 1):
-        # What is left: groups whose members are in more than one component.
-        now = posted if labels is None else posted.join(labels, posted["rep"] == labels["node"], "left")
-        now = now.select(
-            "key", "rep", "n",
-            (F.col("rep") if labels is None else F.coalesce("component", "rep")).alias("of"),
-        )
-        open_keys = now.groupBy("key").agg(
+        # Components are joined to documents, then keys are posted.
+        if labels is None:
+            held = held.withColumn("of", F.col("rep"))
+        else:
+            of = broadcast_if_small(labels, BROADCAST_ROWS)
+            held = held.join(of, held["rep"] == of["node"], "left")
+            held = held.withColumn("of", F.coalesce("component", "rep")).drop("node", "component")
+        if last:  # pairs will be formed: bring the bitmaps
+            bits = [F.get("bits", F.lit(k)).alias(f"bits_{k}") for k in range(BITMAP)]
+            bits = able.join(held.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(
+                F.col("doc_id").alias("rep"), *bits
+            )
+            held = held.join(broadcast_if_small(stored(bits, folder), BROADCAST_ROWS), "rep")
+        posted = posted_keys(held)
+        # A group is open while its members are in more than one component. First
+        # everyone meets the member most of whose keys are shared: an original has
+        # no words of its own, its copies have.
+        merit = F.col("n_keys") / F.col("n") if turn == 0 else F.lit(0.0)
+        member = "rep", "n", "room", "of"
+        open_keys = posted.groupBy("key").agg(
             F.min("of").alias("low"),
             F.max("of").alias("high"),
-            F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "n", "of")).alias("pivot"),
-            F.count(F.lit(1)).alias("size"),
+            F.max(F.struct(merit, F.xxhash64("rep", F.lit(turn)), *member)).alias("pivot"),
         )
-        open_keys = open_keys.where("low < high")
-        left = now.join(open_keys.select("key", "pivot", "size"), "key")
-        left = stored(left, folder)
-        # Pairs to be formed at most, against members: small groups need no more rounds.
-        cost = left.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-        if cost[0] == 0:
-            break
-        last = turn == STARS or cost[1] <= 8 * cost[0]
+        open_keys = open_keys.where("low < high").select("key", "pivot")
+        left = stored(posted.join(open_keys, "key"), folder)
+        overlap = F.ceil((F.col("x_n") + F.col("y_n")) * percent / F.lit(100.0 + percent))
+        x = [F.col(c).alias(f"x_{c}") for c in member]
         if last:
-            other = left.select(
-                "key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("of").alias("of_b")
-            )
-            pairs = left.join(other, "key").where("rep < b and of <> of_b")
-            pairs = pairs.select(F.col("rep").alias("a"), "b", F.col("n").alias("n_a"), "n_b")
+            words = [f"bits_{k}" for k in range(BITMAP)]
+            y = left.select("key", *[F.col(c).alias(f"y_{c}") for c in (*member, *words)])
+            x += [F.col(c).alias(f"x_{c}") for c in words]
+            differ = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in words)
+            pairs = left.select("key", *x).join(y, "key")
+            pairs = pairs.where((F.col("x_rep") < F.col("y_rep")) & (differ <= F.col("x_n") + F.col("y_n") - 2 * overlap))
         else:
-            pairs = left.where("of <> pivot.of").select(
-                F.least("rep", "pivot.rep").alias("a"),
-                F.greatest("rep", "pivot.rep").alias("b"),
-                F.col("n").alias("n_a"),
-                F.col("pivot.n").alias("n_b"),
-            )
-        fitting = (F.least("n_a", "n_b") * 100) >= (F.greatest("n_a", "n_b") * percent)
-        pairs = pairs.where(fitting).select("a", "b").distinct()
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), folder)
-        found = verified(pairs, rows, width, percent, folder)
-        links = links.unionByName(found)
-        tried = tried.unionByName(pairs)
-        labels = stored(components(links, folder), folder)
+            pairs = left.select(*x, *[F.col(f"pivot.{c}").alias(f"y_{c}") for c in member])
+        pairs = pairs.where(
+            (F.col("x_of") != F.col("y_of"))
+            & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
+            & (F.least("x_room", "y_room") >= overlap)
+        ).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), folder)
+        count = pairs.count()
+        if count:
+            found = verified(pairs, rows, width, percent, folder)
+            links, tried = links.unionByName(found), tried.unionByName(pairs)
+            labels = components(links, folder)
         if last:
             break
+        # Another round only while one links many.
+        last = not count or turn + 1 >= STARS or 10 * found.count() < count
+        held = stored(gathered(left), folder)
 
     result = able.join(classes, list(same)).select("doc_id", "n_shingles", "rep")
     if labels is not None:
@@ -336,5 +405,23 @@ def jaccard_components(
     return result.select("doc_id", "n_shingles", "component_id").unionByName(rest)
 
 
+def posted_keys(held: DataFrame) -> DataFrame:
+    """One row a key, from rows of ``keys`` and ``rooms``."""
+    other = [c for c in held.columns if c not in ("keys", "rooms")]
+    each = F.explode(F.arrays_zip("keys", "rooms")).alias("each")
+    return held.select(*other, F.size("keys").alias("n_keys"), each).select(
+        *other, "n_keys", F.col("each.keys").alias("key"), F.col("each.rooms").alias("room")
+    )
+
+
+def gathered(posted: DataFrame) -> DataFrame:
+    """One row a document again; its keys are bounded by its size."""
+    return posted.groupBy("rep").agg(
+        F.first("n").alias("n"),
+        F.collect_list("key").alias("keys"),
+        F.collect_list("room").alias("rooms"),
+    )
+
+
 def kind(rows: DataFrame) -> str:
     return rows.schema["doc_id"].dataType.simpleString()
