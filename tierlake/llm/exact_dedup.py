@@ -205,11 +205,11 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = found.where("kept").select(
         F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
     )
-    repeats = (
-        found.groupBy("doc_id", "text_sha256").count().where("count > 1").limit(1).count() > 0
-    )
+    repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
+    if not repeated:
+        return docs.join(broadcast_if_small(kept.drop("__sha"), BROADCAST_ROWS), same, "left_semi")
+    # Rows share ids: their texts tell them apart, and of equal rows one stays.
     sha = F.sha2(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    rows = docs.join(
-        kept, docs[f"`{id_col}`"].eqNullSafe(kept["__id"]) & (sha == kept["__sha"]), "left_semi"
-    )
-    return rows.dropDuplicates([id_col, text_col]) if repeats else rows
+    rows = docs.join(kept, same & (sha == F.col("__sha")), "left_semi")
+    return rows.withColumn("__sha", sha).dropDuplicates([id_col, "__sha"]).drop("__sha")

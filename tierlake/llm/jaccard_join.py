@@ -249,7 +249,7 @@ def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(
         sign,
-        f"doc_id {kind}, n_shingles int, s1 long, s2 long, bits array<long>, "
+        f"doc_id {kind}, n_shingles long, s1 long, s2 long, bits array<long>, "
         "keys array<long>, rooms array<int>",
     )
 
