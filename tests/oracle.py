@@ -12,6 +12,17 @@ TABLES = (
 ).split()
 
 
+# DuckDB's names of types, and Spark's.
+KINDS = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def connect(sf_dir):
     connection = duckdb.connect()
     for name in TABLES:
@@ -32,6 +43,9 @@ def difference(df, connection, sql):
     columns = [d[0] for d in expected.description]
     if sorted(df.columns) != sorted(columns):
         return [("columns", sorted(df.columns), sorted(columns))]
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in expected.description}
+    if kinds != dict(df.dtypes):
+        return [("types", sorted(set(df.dtypes) ^ set(kinds.items())))]
     want, got = bag(columns, expected.fetchall()), bag(df.columns, df.collect())
     return [("spark only", *(got - want).most_common(3))] * bool(got - want) + [
         ("sql only", *(want - got).most_common(3))
