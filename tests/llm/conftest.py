@@ -43,6 +43,16 @@ def messy_rows():
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """The tables are small: most of the time would go into tasks without rows."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.fixture(scope="module")
 def rows():
     return messy_rows()

