@@ -73,7 +73,9 @@ def packed(records: DataFrame, number: Column) -> DataFrame:
     """
     page = F.floor(number / PAGE_SIZE).cast("bigint")
     counts = records.groupBy(page.alias("page")).count()
-    facts = counts.agg(F.max("count").alias("most"), F.max("page").alias("last"), F.count("*").alias("n")).first()
+    facts = counts.agg(
+        F.max("count").alias("most"), F.max("page").alias("last"), F.count("*").alias("n")
+    ).first()
     if facts.n and (facts.most > PAGE_SIZE or facts.last + 1 != facts.n):
         raise ValueError("the numbers must be unique, from 0 on, without a gap of a page")
     return (

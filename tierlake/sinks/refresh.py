@@ -150,10 +150,10 @@ def refresh(
     asks Spark to rebalance by the column first: small values share a task, and
     a value far over ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is
     split between the tasks it came from, so that one value with a third of all
-    rows ends up in many tasks, unless one task had read all of it. ``cluster=False``, or a session without adaptive execution,
-    skips that shuffle; each task then writes one file per value it meets,
-    which is the cheaper plan for columns with few values and large input
-    splits.
+    rows ends up in many tasks, unless one task had read all of it.
+    ``cluster=False``, or a session without adaptive execution, skips that
+    shuffle; each task then writes one file per value it meets, which is the
+    cheaper plan for columns with few values and large input splits.
 
     ``df`` may read ``target`` itself. The rows are counted in the writing tasks.
     """
