@@ -45,7 +45,8 @@ def powers(size: int, base: int) -> np.ndarray:
 @lru_cache(maxsize=4)
 def letters(seed: int) -> np.ndarray:
     """A random 64-bit value for each byte."""
-    return np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    half = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64)
+    return half * np.uint64(2) + np.uint64(1)
 
 
 class Prints:

@@ -314,7 +314,8 @@ def jaccard_components(
     known = parts[0].join(lowest, "component_id").select(
         "doc_id", "n_shingles", F.col("low").alias("component_id")
     )
-    return known.unionByName(parts[1].select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    alone = parts[1].select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return known.unionByName(alone)
 
 
 def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
@@ -373,7 +374,8 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
             x += [F.col(c).alias(f"x_{c}") for c in words]
             differ = sum(F.bit_count(F.col(f"x_{c}").bitwiseXOR(F.col(f"y_{c}"))) for c in words)
             pairs = left.select("key", *x).join(y, "key")
-            pairs = pairs.where((F.col("x_rep") < F.col("y_rep")) & (differ <= F.col("x_n") + F.col("y_n") - 2 * overlap))
+            room = F.col("x_n") + F.col("y_n") - 2 * overlap
+            pairs = pairs.where((F.col("x_rep") < F.col("y_rep")) & (differ <= room))
         else:
             pairs = left.select(*x, *[F.col(f"pivot.{c}").alias(f"y_{c}") for c in member])
         pairs = pairs.where(

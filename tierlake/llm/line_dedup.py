@@ -191,7 +191,9 @@ class LineIndex:
 
     def _apply(self, docs: DataFrame, sign: int) -> None:
         shards, min_docs = self.shards, self.min_docs
-        delta = counted(docs).select("digest", (F.col("n") * sign).alias("n"), F.lit(0).cast("long").alias("old"))
+        delta = counted(docs).select(
+            "digest", (F.col("n") * sign).alias("n"), F.lit(0).cast("long").alias("old")
+        )
         both = self.refs.select("digest", "n", F.col("n").alias("old")).unionByName(delta)
         summed = both.groupBy("digest").agg(F.sum("n").alias("n"), F.sum("old").alias("old"))
 

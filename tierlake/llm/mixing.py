@@ -72,9 +72,8 @@ def source_targets(
     level = limits.withColumn("level", left / heavy)
     full = F.col("limit") <= F.col("level") * F.col("weight")
     # The level of the first source that does not fill up holds for all after it.
-    ruled = level.withColumn("full", full).withColumn(
-        "rest", F.min(F.when(~F.col("full"), F.struct(F.col("limit") / F.col("weight"), "level"))).over(everything)
-    )
+    first = F.when(~F.col("full"), F.struct(F.col("limit") / F.col("weight"), "level"))
+    ruled = level.withColumn("full", full).withColumn("rest", F.min(first).over(everything))
     target = F.when(F.col("full"), F.col("limit")).otherwise(
         F.col("rest.level") * F.col("weight")
     )
