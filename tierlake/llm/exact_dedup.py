@@ -28,6 +28,10 @@ STATE_SETTINGS = {
     # Upload what changed, and hold no disk for logs in advance (4 MB a partition).
     f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{STATE}.rocksdb.allowFAllocate": "false",
+    # Small write buffers: each partition's first block of one is an eighth of it,
+    # outside the heap. Partitions of a finished run are let go soon.
+    f"{STATE}.rocksdb.writeBufferSizeMB": "4",
+    f"{STATE}.maintenanceInterval": "10s",
 }
 #: Members of groups that are sent to every task instead of shuffling all texts.
 BROADCAST_ROWS = 500_000

@@ -57,7 +57,7 @@ SKETCH_BITS = 22
 BLOCK_BITS = 16
 #: A token is frequent above this estimate, or well above the mean counter.
 FREQUENT = 64
-CACHE = 300_000
+CACHE = 200_000
 #: Rounds of comparing with one member of each group before pairs are formed, at most.
 STARS = 4
 #: 64-bit words of a set's bitmap.
@@ -172,16 +172,17 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
     size, block = 1 << SKETCH_BITS, 1 << BLOCK_BITS
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, counts, waiting, pending = Shingler(width), np.zeros(size, dtype="<u4"), [], 0
+        shingle, waiting, pending = Shingler(width), [], 0
+        counts, one = np.zeros(size, dtype="<u4"), np.uint32(1)
         for frame in frames:
             for text in frame["text"]:
                 waiting.append((shingle(text) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 pending += len(waiting[-1])
                 if pending > 1_000_000:
-                    counts += np.bincount(np.concatenate(waiting), minlength=size).astype("<u4")
+                    np.add.at(counts, np.concatenate(waiting), one)
                     waiting, pending = [], 0
         if waiting:
-            counts += np.bincount(np.concatenate(waiting), minlength=size).astype("<u4")
+            np.add.at(counts, np.concatenate(waiting), one)
         part = TaskContext.get().partitionId()
         for k in range(size // block):
             yield pd.DataFrame([packed(k, part // 256, counts[k * block : (k + 1) * block])])
