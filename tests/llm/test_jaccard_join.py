@@ -141,3 +141,16 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.component for r in got.collect()} == {n: want[n] for n in nodes}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("block_bits", [4, 16])
+def test_sketch_counts_all_tokens(spark, near, monkeypatch, block_bits):
+    monkeypatch.setattr(jaccard_join, "BLOCK_BITS", block_bits)
+    monkeypatch.setattr(jaccard_join, "SKETCH_BITS", max(10, block_bits))
+    rows = table_of(spark, near * 3).repartition(5)
+    sketch, mean = jaccard_join.token_sketch(rows, 5)
+    want = np.zeros(1 << jaccard_join.SKETCH_BITS, dtype=np.int64)
+    for r in near:
+        tokens = jaccard_join.Shingler(5)(r[1])
+        np.add.at(want, (tokens >> np.uint64(64 - jaccard_join.SKETCH_BITS)).astype(int), 3)
+    assert (sketch == want).all() and mean == pytest.approx(want.mean())

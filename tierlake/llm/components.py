@@ -9,6 +9,7 @@ from tierlake.llm.common import broadcast_if_small, stored
 
 #: Nodes that are sent to every task instead of shuffling.
 BROADCAST_NODES = 500_000
+LINKS_A_TASK = 20_000
 
 
 def components(links: DataFrame, folder: str | None = None) -> DataFrame:
@@ -22,11 +23,14 @@ def components(links: DataFrame, folder: str | None = None) -> DataFrame:
     """
     links = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = stored(links.distinct(), folder)
+    # Few links need few tasks; there are never more of them than now.
+    tasks = 1 + links.count() // LINKS_A_TASK
     labels = None
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        hooks = stored(hooks.select("node", F.least("node", "low").alias("up")), folder)
+        hooks = hooks.select("node", F.least("node", "low").alias("up"))
+        hooks = stored(hooks.coalesce(tasks), folder)
         small = broadcast_if_small(hooks, BROADCAST_NODES)
         over = small.select(F.col("node").alias("up"), F.col("up").alias("up2"))
         over2 = small.select(F.col("node").alias("up2"), F.col("up").alias("up3"))
@@ -49,7 +53,7 @@ def components(links: DataFrame, folder: str | None = None) -> DataFrame:
         links = links.select(
             F.least("top_a", "top_b").alias("a"), F.greatest("top_a", "top_b").alias("b")
         )
-        links = stored(links.distinct(), folder)
+        links = stored(links.distinct().coalesce(tasks), folder)
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

@@ -166,8 +166,9 @@ def bitmap_of(tokens: np.ndarray) -> np.ndarray:
 def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
     """Counters of all tokens by their leading bits, saturating, and the mean counter.
 
-    Tasks send only counters that are not zero; sums go over at most 256 tasks
-    at a time. What reaches the driver has the fixed size of the sketch.
+    Tasks send blocks of counters in as few bytes as they fit in, and of sparse
+    blocks only those that are not zero; sums go over at most 256 tasks at a
+    time. What reaches the driver has the fixed size of the sketch.
     """
     size, block = 1 << SKETCH_BITS, 1 << BLOCK_BITS
 
@@ -188,28 +189,32 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
             yield pd.DataFrame([packed(k, part // 256, counts[k * block : (k + 1) * block])])
 
     def packed(k: int, part: int, counts: np.ndarray) -> dict:
+        kind = next(t for t in ("<u1", "<u2", "<u4") if counts.max() <= np.iinfo(t).max)
         at = np.flatnonzero(counts)
-        return {
-            "block": k,
-            "part": part,
-            "at": at.astype("<u2").tobytes(),
-            "n": counts[at].astype("<u4").tobytes(),
-        }
+        width = np.dtype(kind).itemsize
+        if len(at) * (2 + width) < block * width:
+            counts, at = counts[at], at.astype("<u2").tobytes()
+        else:
+            at = b""
+        return {"block": k, "part": part, "kind": kind, "at": at, "n": counts.astype(kind).tobytes()}
+
+    def add(total: np.ndarray, kind: str, at: bytes, n: bytes) -> None:
+        where = np.frombuffer(at, dtype="<u2") if at or not n else slice(None)
+        total[where] += np.frombuffer(n, dtype=kind)
 
     def summed(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(block, dtype=np.int64)
-        for at, n in zip(frame["at"], frame["n"], strict=True):
-            total[np.frombuffer(at, dtype="<u2")] += np.frombuffer(n, dtype="<u4")
+        for kind, at, n in zip(frame["kind"], frame["at"], frame["n"], strict=True):
+            add(total, kind, at, n)
         total = np.minimum(total, np.iinfo("<u4").max)
         return pd.DataFrame([packed(int(frame["block"].iloc[0]), 0, total)])
 
-    schema = "block int, part int, at binary, n binary"
+    schema = "block int, part int, kind string, at binary, n binary"
     parts = rows.select("text").mapInPandas(count, schema)
     parts = parts.groupBy("block", "part").applyInPandas(summed, schema)
     sketch = np.zeros(size, dtype="<u4")
     for row in parts.groupBy("block").applyInPandas(summed, schema).collect():
-        at = np.frombuffer(row.at, dtype="<u2").astype(np.int64) + row.block * block
-        sketch[at] = np.frombuffer(row.n, dtype="<u4")
+        add(sketch[row.block * block : (row.block + 1) * block], row.kind, row.at, row.n)
     return sketch, float(sketch.mean())
 
 
@@ -257,11 +262,18 @@ def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
     """Those of ``pairs`` (``a, b``) whose texts are similar, shingle by shingle."""
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    ids = broadcast_if_small(stored(ids.distinct(), folder), BROADCAST_ROWS)
-    whole = rows.join(ids, F.col("doc_id") == F.col("id"), "left_semi")
-    text_a = whole.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    text_b = whole.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    # Each text goes once to every pair it is in, and both meet by pair.
+    sides = F.explode(
+        F.array(
+            F.struct(F.col("a").alias("id"), F.lit(True).alias("is_a")),
+            F.struct(F.col("b").alias("id"), F.lit(False).alias("is_a")),
+        )
+    )
+    sides = broadcast_if_small(pairs, BROADCAST_ROWS).select("a", "b", sides.alias("side"))
+    both = rows.join(sides, F.col("doc_id") == F.col("side.id")).groupBy("a", "b").agg(
+        F.first(F.when(F.col("side.is_a"), F.col("text")), True).alias("text_a"),
+        F.first(F.when(~F.col("side.is_a"), F.col("text")), True).alias("text_b"),
+    )
 
     def shingles(text: str | None) -> set[tuple[bytes, ...]]:
         words = words_of(text)
@@ -281,8 +293,7 @@ def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, folder
             yield frame.loc[keep, ["a", "b"]]
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = pairs.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
-    return stored(found.mapInPandas(compare, f"a {kind}, b {kind}"), folder)
+    return stored(both.mapInPandas(compare, f"a {kind}, b {kind}"), folder)
 
 
 def jaccard_components(
@@ -339,7 +350,7 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     held = stored(gathered(posted.join(shared, "key")), folder)
 
     links = spark.createDataFrame([], f"a {kind(rows)}, b {kind(rows)}")
-    tried, labels, last = links, None, False
+    labels, last = None, False
     for turn in range(STARS + 1):
         # Components are joined to documents, then keys are posted.
         if labels is None:
@@ -384,11 +395,11 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
             & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * percent)
             & (F.least("x_room", "y_room") >= overlap)
         ).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
-        pairs = stored(pairs.distinct().join(tried, ["a", "b"], "left_anti"), folder)
+        pairs = stored(pairs.distinct(), folder)
         count = pairs.count()
         if count:
             found = verified(pairs, rows, width, percent, folder)
-            links, tried = links.unionByName(found), tried.unionByName(pairs)
+            links = links.unionByName(found)
             labels = components(links, folder)
         if last:
             break
