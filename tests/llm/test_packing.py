@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tierlake.llm.packing import best_two, pack, plan_patterns
-from tierlake.llm.vocabularies import BYTE_BPE
+from tierlake.llm.vocabularies import BYTE_BPE, byte_bpe_ids
 
 
 def token_ids(text):
@@ -54,6 +54,32 @@ def test_repeats_nulls_and_empty(spark, twice, rows, nothing):
     assert [tuple(r)[:4] for r in pack(table).collect()] == [(None, 0, 0, 1)]
 
 
+END_OF_TEXT = [
+    "end <|endoftext|> more",
+    "<|endoftext|>",
+    "<|endoftext|><|endoftext|>x",
+    " \n\n<|endoftext|>\n  a <|endoftext|",
+    "it'<|endoftext|>s  <|endoftext|>  é😀",
+]
+
+
+def test_added_tokens_in_a_text_have_their_id(spark):
+    assert token_ids(END_OF_TEXT[0]) == [437, 220, 50256, 517, 0]
+    for text in END_OF_TEXT:
+        assert [*byte_bpe_ids()(text), 0] == token_ids(text)
+    rows = list(enumerate(END_OF_TEXT))
+    check(pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows, 2048)
+
+
+def test_of_added_tokens_the_longest_counts(tmp_path):
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    tokenizer.add_special_tokens(["<|a", "<|a|>", "a|>b"])
+    path = str(tmp_path / "more.json")
+    tokenizer.save(path)
+    for text in ["x <|a|>b<|a y", "a|>b<|a|", "<|endoftext|><|a|>"]:
+        assert byte_bpe_ids(path)(text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def first_fit_decreasing(lengths, size):
     bins = []
     for length in sorted(lengths, reverse=True):

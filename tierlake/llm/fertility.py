@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import BLANKS, broadcast_if_small, stored
-from tierlake.llm.vocabularies import BYTE_BPE, PIECE_BPE, byte_bpe, piece_bpe
+from tierlake.llm.vocabularies import BYTE_BPE, PIECE_BPE, byte_bpe_ids, piece_bpe
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -68,7 +68,7 @@ class Cutter:
     """Token ids of words in both vocabularies, as bytes, with a bounded cache."""
 
     def __init__(self, byte_path: str, piece_path: str):
-        self.encode = byte_bpe(byte_path).encode_ordinary
+        self.encode = byte_bpe_ids(byte_path)
         self.model, self.is_byte = piece_bpe(piece_path)
         self.cache: dict[bytes, tuple[bytes, int, int]] = {}
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import stored, texts
-from tierlake.llm.vocabularies import BYTE_BPE, byte_bpe
+from tierlake.llm.vocabularies import BYTE_BPE, byte_bpe_ids
 
 MAX_TOKENS = 2048
 END = 0
@@ -29,7 +29,7 @@ END = 0
 
 def tokenized(frames: Iterator[pd.DataFrame], vocabulary: str, max_tokens: int):
     """Pieces of each document, the shorter one first, numbered by length in this task."""
-    encode = byte_bpe(vocabulary).encode_ordinary
+    encode = byte_bpe_ids(vocabulary)
     part = TaskContext.get().partitionId()
     seen = np.zeros(max_tokens + 1, dtype=np.int64)
     for frame in frames:
