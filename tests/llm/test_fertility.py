@@ -71,6 +71,28 @@ def test_bands_reject_what_is_odd_for_the_language(spark, rows):
     assert all(kept.values())  # alone in its language, 901 is its own measure
 
 
+def test_a_few_byte_tokens_in_a_clean_text_are_no_fault(spark, rows):
+    short = [r[1] for r in rows if r[0] < 12]
+    long = [" ".join(short[k:] + short[:k]) for k in range(12)]
+    signs = ["\u2615", "\U0001f1e9\U0001f1ea", "\U00020bb7"]  # cup, flag, rare Han character
+    # One language of short texts, one of long ones: entropy grows with the length.
+    table = [(k, t, "s") for k, t in enumerate(short)] + [(50 + k, t, "l") for k, t in enumerate(long)]
+    table += [(100 + k, f"{short[k]} {sign}", "s") for k, sign in enumerate(signs)]
+    table += [(200 + k, f"{long[k]} {sign}", "l") for k, sign in enumerate(signs)]
+    # Every word with byte tokens: noise.
+    table += [(900, " ".join(f"{w}\U00020bb7" for w in long[0].split()), "l")]
+    found = fertility(spark.createDataFrame(table, "doc_id long, text string, lang string")).collect()
+    assert all((r.byte_share > 0) == (r.doc_id >= 100) for r in found)
+    assert [r.doc_id for r in found if not r.kept] == [900]
+
+
+def test_equal_documents_leave_room_for_a_like_one(spark, rows):
+    plain = [r[1] for r in rows if r[0] == 0]
+    table = [(k, plain[0], "en") for k in range(8)] + [(8, f"{plain[0]} and so", "en")]
+    found = fertility(spark.createDataFrame(table, "doc_id long, text string, lang string"))
+    assert all(r.kept for r in found.collect())
+
+
 def test_script_stands_in_for_a_null_language(spark):
     assert [script_of(t) for t in ("abc é", "абв a", "123", "")] == ["LATIN", "CYRILLIC", "NONE", "NONE"]
     table = spark.createDataFrame([(None, "абв где", None), (2, None, None)], "doc_id long, text string, lang string")
