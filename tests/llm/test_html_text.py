@@ -48,6 +48,31 @@ def test_unmarked_page():
     assert main_text(page) == f"Title\n{LONG}\nShort.\n{LONG}"
 
 
+@pytest.mark.parametrize("tag", ["div", "section", "td"])
+@pytest.mark.parametrize("around", ["", "<div>"])
+def test_unmarked_page_with_each_paragraph_in_its_own_element(tag, around):
+    texts = [("word " * 200)[:size].strip() for size in (400, 40, 400, 300, 40, 500)]
+    body = "".join(f"<{tag}><p>{t}</p></{tag}>" for t in texts)
+    menu = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(10))
+    page = f"<body><ul>{menu}</ul>{around}{body}{around.replace('<', '</')}<div><ul>{menu}</ul></div>"
+    assert main_text(page) == "\n".join(texts)
+
+
+def test_unmarked_page_with_wrapped_heading_and_list():
+    menu = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(10))
+    page = (
+        f"<div><ul>{menu}</ul></div><div><h1><a href='/'>Title</a></h1></div><div><p>{LONG * 5}</p></div>"
+        f"<div><ul><li>one<li>two</ul></div><div><p>{LONG * 5}</p></div><div><p>Last.</p></div>"
+        f"<div><ul>{menu}</ul></div>"
+    )
+    assert main_text(page) == f"Title\n{LONG * 5}\none\ntwo\n{LONG * 5}\nLast."
+    page = f"<div><ul>{menu}</ul></div><div><p>{LONG * 5}</p></div><div><p>Last.</p></div>"
+    assert main_text(page) == f"{LONG * 5}\nLast."
+    inline = "<div><a href='/'>Home</a> | <a href='/x'>About</a> | <a href='/y'>Contact</a></div>"
+    assert main_text(inline + page) == f"{LONG * 5}\nLast."
+    assert main_text(page.replace(f"<div><ul>{menu}</ul></div>", inline)) == f"{LONG * 5}\nLast."
+
+
 def test_smoothing_keeps_a_constant():
     assert smoothed(np.full(7, 3.0)) == pytest.approx(np.full(7, 3.0))
     bump = smoothed(np.array([0, 0, 0, 9.0, 0, 0, 0]))

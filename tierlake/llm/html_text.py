@@ -8,6 +8,8 @@ over its neighbours, and the lines at or above the standard deviation of the
 smoothed ratios are the content cluster. The *regions* the cluster lies in are
 the main text: marked ones (``article``, ``main``) if it reaches any, else the
 elements around its lines. Of a chosen region every line stays, short ones too.
+On a page without marks, all of the cluster stays that lies in the element
+around the chosen regions, so a short paragraph may have an element of its own.
 """
 
 from __future__ import annotations
@@ -60,10 +62,13 @@ NOISE = frozenset(
 )
 COMMENTS = frozenset("comment comments disqus reply replies respond discussion".split())
 HEADERS = frozenset(["header"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 SPACE = re.compile(r"\s+")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SIGMA = 1.0
+#: Part of a line's characters that links hold at least in a menu without marks.
+LINKED = 0.7
 
 
 @dataclass(slots=True)
@@ -86,6 +91,7 @@ class Line:
     region: int
     marked: int
     tag: str
+    heading: bool
 
 
 class Lines(HTMLParser):
@@ -94,18 +100,22 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack = [Open("", False, False, 0, 0)]
-        self.regions = 0
+        #: Of each region, the one around it, which has a smaller number.
+        self.around = [0]
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = self.linked = self.links = 0
         self.at = self.stack[0]
+        self.heading = False
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             at = self.at
             self.lines.append(
-                Line(text, self.tags, self.linked, at.noise, at.region, at.marked, at.tag)
+                Line(
+                    text, self.tags, self.linked, at.noise, at.region, at.marked, at.tag, self.heading
+                )
             )
         self.parts.clear()
         self.tags = self.linked = 0
@@ -155,8 +165,8 @@ class Lines(HTMLParser):
             noise = above.noise or own or comments
         region, marked = above.region, above.marked
         if mark or tag in ("div", "section", "body", "td") and not marked:
-            self.regions += 1
-            region, marked = self.regions, max(mark, marked)
+            self.around.append(region)
+            region, marked = len(self.around) - 1, max(mark, marked)
         return Open(tag, noise, comments, region, marked)
 
     def close_implied(self, names: tuple[str, ...]) -> None:
@@ -201,6 +211,7 @@ class Lines(HTMLParser):
             return
         if not any(self.parts) or not "".join(self.parts).strip():
             self.at = self.block()
+            self.heading = any(o.tag in HEADINGS for o in self.stack[-3:])
         self.parts.append(data)
         if self.links:
             self.linked += len(data.strip())
@@ -225,6 +236,30 @@ def smoothed(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(values, kernel, mode="full")[reach : reach + len(values)] / weight
 
 
+def container(around: list[int], chosen: set[int], able: list[int]) -> np.ndarray:
+    """Whether each region lies in the innermost one that holds all ``chosen`` ones.
+
+    A wrapper of a single line is not that one; ``able`` has each line's region.
+    """
+    first, last = min(chosen), max(chosen)
+    # Regions are numbered as they open: what holds these two holds all between them.
+    while first != last:
+        if first < last:
+            last = around[last]
+        else:
+            first = around[first]
+    held = np.bincount(able, minlength=len(around))
+    for k in range(len(around) - 1, 0, -1):
+        held[around[k]] += held[k]
+    while first and held[first] < 2:
+        first = around[first]
+    inside = np.zeros(len(around), dtype=bool)
+    inside[first] = True
+    for k in range(first + 1, len(around)):
+        inside[k] = inside[around[k]]
+    return inside
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, blocks joined by line feeds; empty if there is none."""
     parser = Lines()
@@ -248,11 +283,23 @@ def main_text(html: str | None) -> str:
         best = max(x.marked for x, a in zip(lines, able, strict=True) if a)
         reached = reached if not best else [x for x, a in zip(lines, able, strict=True) if a]
     chosen = {x.region for x in reached if x.marked == best}
+    also = np.zeros(len(lines), dtype=bool)
+    if best == 2:
+        # Around an article, its page's main element may hold the heading and more text.
+        also |= [x.marked == 1 and (bool(c) or x.tag == "h1") for x, c in zip(lines, cluster, strict=True)]
+    elif not best:
+        regions = [x.region for x in lines]
+        able_regions = [r for r, a in zip(regions, able, strict=True) if a]
+        also |= cluster & container(parser.around, chosen, able_regions)[regions]
+        # A menu before or after the text is raised by it; it is links and what divides them.
+        text = np.flatnonzero(strong if strong.any() else cluster)
+        menu = np.array([x.linked >= LINKED * len(x.text) and not x.heading for x in lines])
+        menu[text[0] : text[-1]] = False
+        also &= ~menu
     kept = [
         x.text
-        for x, a, c in zip(lines, able, cluster, strict=True)
-        # Around an article, its page's main element may hold the heading and more text.
-        if a and (x.region in chosen or best == 2 and x.marked == 1 and (c or x.tag == "h1"))
+        for x, a, c in zip(lines, able, also, strict=True)
+        if a and (c or x.region in chosen)
     ]
     return "\n".join(kept)
 
