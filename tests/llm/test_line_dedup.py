@@ -63,6 +63,20 @@ def test_repeats_nulls_and_empty(spark, twice, rows, nothing):
     assert [tuple(r) for r in drop_repeated_lines(table, 1).collect()] == [(None, 1, 0, "")]
 
 
+def test_blank_lines_stay_if_a_filter_passes_their_key(spark):
+    # A line with the fingerprint and the buckets of the empty key, in a filter of two buckets.
+    digests = [digest(b"")] + [digest(f"line {k}".encode()) for k in range(400_000)]
+    prints, first, second = Cuckoo.places(halves(digests)[1], 2)
+    same = (prints == prints[0]) & ((first == first[0]) | (first == second[0]))
+    line = f"line {np.flatnonzero(same)[1] - 1}"
+    rows = [(k, f"{line}\n\n own {k}\n \t") for k in range(3)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    index = LineIndex(spark, min_docs=3, shards=1)
+    index.insert(table)
+    assert index._probe().may_hold([digest(b"")]).all()
+    assert found(index.drop(table)) == expected(rows, 3)
+
+
 def test_cuckoo_filter():
     rng = random.Random(3)
     keys = [digest(str(rng.random()).encode()) for _ in range(5_000)]

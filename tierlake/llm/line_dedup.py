@@ -111,7 +111,8 @@ class Probe:
     """All shards' filters side by side, with the keys they wrongly pass."""
 
     def __init__(self, rows: list[tuple[int, int, bytes]], shards: int, exceptions: set[bytes]):
-        self.shards, self.exceptions = shards, exceptions
+        # The key of blanks alone is not counted, so nothing else tells that it is passed wrongly.
+        self.shards, self.exceptions = shards, exceptions | {digest(b"")}
         self.buckets = np.ones(shards, dtype=np.uint64)
         self.start = np.zeros(shards, dtype=np.int64)
         tables, at = [np.zeros((1, SLOTS), dtype="<u2")], 1  # shards without a filter: one empty bucket
@@ -134,7 +135,7 @@ class Probe:
         return found
 
     def holds(self, digests: list[bytes]) -> np.ndarray:
-        """Exact for every key that is in the counts."""
+        """Exact for every key that is in the counts, and for the empty one."""
         found = self.may_hold(digests)
         for i in np.flatnonzero(found):
             if digests[i] in self.exceptions:
