@@ -4,7 +4,7 @@ from __spark_entry__ import oracle_sql, queries
 from tests.oracle import connect, difference
 from tierlake.llm.catalog import ORACLE_SQL, QUERIES
 
-ROWS = {"op3_text_to_tag": "pages"}
+ROWS = {"op3_text_to_tag": "pages", "op13_warc_ranges": "pages"}
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def connection():
 
 
 def test_all_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert QUERIES.items() <= queries().items() and "pipeline" in queries()
     assert ORACLE_SQL.items() <= oracle_sql().items()
 

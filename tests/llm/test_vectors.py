@@ -1,0 +1,194 @@
+"""Codes and clusters against plain loops over every vector and every centre."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tierlake.llm import cover_tree, pivot_table
+from tierlake.llm.cover_tree import CoverTree, compress, with_label_error
+from tierlake.llm.pivot_table import chosen_pivots, cluster, nearest, survivors
+from tierlake.llm.vectors import squared
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+BIG = 2**60  # ids that a double cannot hold
+
+
+def table(size=64, count=150, seed=2):
+    rng = random.Random(seed)
+    centres = [[rng.uniform(-0.5, 0.5) for _ in range(size)] for _ in range(5)]
+    rows = []
+    for k in range(count):
+        centre = centres[min(k % 7, 4)]
+        vector = [float(np.float32(x + rng.gauss(0, 0.05))) for x in centre]
+        rows.append((BIG + k, vector, [0, 1, None, 2][k % 4]))
+    vector = rows[3][1]
+    rows += [(BIG + 1000 + k, vector, 1) for k in range(40)]  # a large group of copies
+    rows += [rows[5], rows[5]]  # repeated rows
+    rows += [(BIG + 6, [0.25] * size, None)]  # another vector of the same id
+    rows += [(None, [-0.25] * size, 2), (None, [0.0] * size, 0)]
+    broken = [[*vector[1:], x] for x in (None, math.nan, math.inf, -math.inf)]
+    rows += [(k, v, 0) for k, v in enumerate([None, [], [1.0], vector + [0.5], *broken])]
+    rng.shuffle(rows)
+    return rows
+
+
+def frame(spark, rows, extra=("of", "first", "vector", "v", "n", "cluster", "error")):
+    schema = SCHEMA + "".join(f", {name} int" for name in extra)
+    return spark.createDataFrame([(*r, *range(len(extra))) for r in rows], schema).repartition(3)
+
+
+def whole(rows, scale, size):
+    kept = [
+        (i, [math.floor(scale * x) for x in v], lab)
+        for i, v, lab in rows
+        if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    return sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def far(a, b):
+    return sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+
+
+def closest(v, centres):
+    return min((far(v, c), k) for k, c in enumerate(centres))
+
+
+def lloyd(vectors, centres, rounds):
+    for _ in range(rounds):
+        of = [closest(v, centres)[1] for v in vectors]
+        centres = [
+            [sum(x) // len(x) for x in zip(*own, strict=True)]
+            if (own := [v for v, o in zip(vectors, of, strict=True) if o == k])
+            else old
+            for k, old in enumerate(centres)
+        ]
+    return centres, [closest(v, centres) for v in vectors]
+
+
+def brute_codes(rows, size, parts=8, entries=16, rounds=6):
+    kept = whole(rows, 4096, size)
+    books, found = [], [("", 0)] * len(kept)
+    for cut in cover_tree.parts_of(size, parts):
+        vectors = [v[cut] for _, v, _ in kept]
+        book, near = lloyd(vectors, vectors[:entries], rounds)
+        books.append(book)
+        found = [(c + f"{k:02x}", e + d) for (c, e), (d, k) in zip(found, near, strict=True)]
+    labels = {}
+    for (_, _, label), (_, e) in zip(kept, found, strict=True):
+        labels[label] = labels.get(label, 0) + e
+    return sorted(
+        (str(i), c, e, labels[lab]) for (i, _, lab), (c, e) in zip(kept, found, strict=True)
+    ), books
+
+
+@pytest.mark.parametrize("size", [64, 19])
+def test_codes_equal_brute_force(spark, monkeypatch, size):
+    monkeypatch.setattr(cover_tree, "BLOCK", 50)  # several trees, here and in the workers
+    # The smallest id says which length counts.
+    rows = [(i if i is None or i >= BIG else i + BIG + 5000, v, lab) for i, v, lab in table(size)]
+    found = compress(frame(spark, rows))
+    got = sorted(
+        (str(r.vec_id), bytes(r.code).hex(), r.error, r.label_error)
+        for r in with_label_error(found.codes).collect()
+    )
+    want, books = brute_codes(rows, size)
+    assert got == want and found.codebooks == books
+
+
+def test_few_vectors_and_none(spark):
+    rows = [(2, [0.5] * 8, None), (1, [0.25] * 8, 1), (3, [0.5] * 8, 1)]
+    found = compress(frame(spark, rows))
+    assert sorted((r.vec_id, bytes(r.code).hex()) for r in found.codes.collect()) == [
+        (1, "00" * 8), (2, "01" * 8), (3, "01" * 8)
+    ]
+    for rows in ([], [(1, None, 1)]):
+        found = compress(frame(spark, rows))
+        assert with_label_error(found.codes).collect() == [] and found.codebooks == [[]] * 8
+    assert [bytes(r.code) for r in compress(frame(spark, [(1, [], 1)])).codes.collect()] == [b"\0" * 8]
+
+
+def test_tree_covers_and_keeps_apart():
+    rng = np.random.default_rng(4)
+    points = rng.integers(-500, 500, (700, 4))
+    points[100:200] = points[7]
+    tree = CoverTree.build(points)
+    assert sorted(tree.order) == list(range(700))
+    for node in tree.nodes:
+        run = tree.points[node["begin"] : node["end"]]
+        assert math.isclose(node["radius"], np.sqrt(squared(run, run[:1])).max())
+        children = tree.nodes[node["child"] : node["child"] + node["children"]]
+        if len(children):
+            assert children["begin"][0] == node["begin"] and children["end"][-1] == node["end"]
+            assert (children["end"][:-1] == children["begin"][1:]).all()
+            # Centres are farther apart than any of them reaches.
+            centres = tree.points[children["begin"]]
+            apart = np.sqrt(squared(centres, centres))[~np.eye(len(centres), dtype=bool)]
+            assert apart.min() > children["radius"].max()
+
+
+def test_subtrees_are_assigned_whole():
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-4000, 4000, (6, 8))
+    points = centres[rng.integers(0, 6, 3000)] + rng.integers(-40, 40, (3000, 8))
+    tree = CoverTree.build(points)
+    exact = squared(points, centres).argmin(axis=1)
+    assert (tree.assign(centres)[0] == exact).all()
+    count, sums = tree.totals(centres)
+    assert (count == np.bincount(exact, minlength=6)).all()
+    assert all((sums[k] == points[exact == k].sum(axis=0)).all() for k in range(6))
+    compared = sum(len(at) for what, at, _ in tree.walk(centres) if what == "points")
+    assert compared < 300
+
+
+def brute_clusters(rows, clusters=8, rounds=10):
+    kept = whole(rows, 1024, 64)
+
+    def drawn(row):
+        return row[0] is None, hashlib.sha256(f"3:{row[0]}".encode()).hexdigest(), row[1]
+
+    start = [v for _, v, _ in sorted(kept, key=drawn)[:clusters]]
+    centres, near = lloyd([v for _, v, _ in kept], start, rounds)
+    found = sorted((str(i), k, d) for (i, _, _), (d, k) in zip(kept, near, strict=True))
+    return found, centres, [sum(d for d, k in near if k == c) for c in range(len(centres))]
+
+
+def test_clusters_equal_brute_force(spark):
+    rows = table()
+    found = cluster(frame(spark, rows))
+    got = sorted((str(r.vec_id), r.cluster, r.distance) for r in found.members.collect())
+    want, centres, inertias = brute_clusters(rows)
+    assert got == want
+    assert found.centroids == centres and found.inertias == inertias
+
+
+def test_clusters_of_few_vectors_and_none(spark):
+    rows = [(k, [float(k // 2)] * 64, 1) for k in range(4)]
+    found = cluster(frame(spark, rows))
+    assert sorted((r.vec_id, r.distance) for r in found.members.collect()) == [(k, 0) for k in range(4)]
+    # Equal centroids: the smaller number gets the vectors.
+    assert len({r.cluster for r in found.members.collect()}) == 2 and len(found.centroids) == 4
+    for rows in ([], [(1, None, 1), (2, [1.0], 1)]):
+        found = cluster(frame(spark, rows))
+        assert found.members.collect() == [] and found.centroids == []
+
+
+def test_bounds_never_exceed_distances_and_save_most():
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-900, 900, (8, 64))
+    points = centres[rng.integers(0, 8, 2000)] + rng.integers(-60, 60, (2000, 64))
+    pivots = chosen_pivots(points[:100], 16)
+    to_pivots, of_centres = np.sqrt(squared(points, pivots)), np.sqrt(squared(centres, pivots))
+    exact = squared(points, centres)
+    assert (survivors(to_pivots, of_centres) <= np.sqrt(exact)).all()
+    best, distance, measured = nearest(points, to_pivots, centres, of_centres)
+    assert (best == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
+    assert measured < 1.2 * len(points)  # of eight times as many
+
+
+def test_pivots_of_equal_vectors():
+    assert len(chosen_pivots(np.ones((5, 3), dtype=np.int64), 16)) == 1
+    assert pivot_table.PIVOTS <= pivot_table.PIVOT_CHOICE

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import (
+    cover_tree,
     exact_dedup,
     factorisation,
     fertility,
@@ -17,7 +19,9 @@ from tierlake.llm import (
     line_dedup,
     mixing,
     packing,
+    pivot_table,
     suffix_family,
+    warc,
 )
 from tierlake.llm.common import table
 
@@ -139,3 +143,160 @@ reach AS (
 SELECT reach.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN size USING (doc_id) GROUP BY reach.doc_id
 """
+
+
+@query
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cover_tree.compress(table(spark, sf_dir, "embeddings"))
+    entries = [str(x) for book in found.codebooks for entry in book for x in entry]
+    digest = hashlib.sha256(",".join(entries).encode()).hexdigest()
+    return cover_tree.with_label_error(found.codes).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+def exact_floor(total: str, count: str) -> str:
+    """SQL for ``floor(total / count)`` of whole numbers."""
+    return f"((({total}) - ((({total}) % {count}) + {count}) % {count}) // {count})"
+
+
+def cover_tree_sql(rounds: int = cover_tree.ROUNDS) -> str:
+    """Every part against every entry, round by round."""
+    steps = [
+        f"""
+near_{k} AS MATERIALIZED (
+  SELECT vec_id, part, min({{'far': far, 'entry': entry}}) AS best
+  FROM (SELECT vec_id, part, entry, sum((c.x - b.x) * (c.x - b.x)) AS far
+        FROM component c JOIN book_{k} b USING (part, place) GROUP BY ALL)
+  GROUP BY ALL),
+book_{k + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce(mean.x, old.x) AS x
+  FROM book_{k} old LEFT JOIN (
+    SELECT part, best.entry AS entry, place, {exact_floor("sum(x)", "count(*)")} AS x
+    FROM component JOIN near_{k} USING (vec_id, part) GROUP BY ALL) mean
+  USING (part, entry, place)),"""
+        for k in range(rounds + 1)
+    ]
+    return f"""
+WITH component AS MATERIALIZED (
+  SELECT vec_id, i // (size // 8) AS part, i % (size // 8) AS place, x
+  FROM (SELECT vec_id, len(embedding) AS size, unnest(range(len(embedding))) AS i,
+               CAST(floor(4096 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+        FROM embeddings
+        WHERE len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0)),
+book_0 AS MATERIALIZED (
+  SELECT part, row_number() OVER (PARTITION BY part, place ORDER BY vec_id) - 1 AS entry, place, x
+  FROM component
+  WHERE vec_id IN (SELECT DISTINCT vec_id FROM component ORDER BY vec_id LIMIT 16)),
+{"".join(steps)}
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', CAST(best.entry AS INTEGER)), '' ORDER BY part) AS code,
+         CAST(sum(best.far) AS BIGINT) AS error
+  FROM near_{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, place))
+        FROM book_{rounds}) AS codebooks_sha256
+FROM coded JOIN embeddings USING (vec_id)
+"""
+
+
+ORACLE_SQL["op11_cover_tree"] = cover_tree_sql()
+
+
+@query
+def op12_pivot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pivot_table.cluster(table(spark, sf_dir, "embeddings"))
+    rows = [
+        (k, sum_, hashlib.sha256(",".join(map(str, centroid)).encode()).hexdigest())
+        for k, (centroid, sum_) in enumerate(zip(found.centroids, found.inertias, strict=True))
+    ]
+    of = spark.createDataFrame(rows, "of int, cluster_inertia long, centroid_sha256 string")
+    members = found.members.join(F.broadcast(of), F.col("cluster") == F.col("of"))
+    return members.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        F.lit(sum(found.inertias)).cast("long").alias("inertia"),
+        "centroid_sha256",
+    )
+
+
+def pivot_table_sql(rounds: int = pivot_table.ROUNDS) -> str:
+    """Every vector against every centroid, round by round."""
+    steps = [
+        f"""
+near_{k} AS MATERIALIZED (
+  SELECT vec_id, min({{'far': far, 'cluster': cluster}}) AS best
+  FROM (SELECT vec_id, cluster, sum((c.x - m.x) * (c.x - m.x)) AS far
+        FROM component c JOIN centroid_{k} m USING (place) GROUP BY ALL)
+  GROUP BY ALL),
+centroid_{k + 1} AS MATERIALIZED (
+  SELECT cluster, place, coalesce(mean.x, old.x) AS x
+  FROM centroid_{k} old LEFT JOIN (
+    SELECT best.cluster AS cluster, place, {exact_floor("sum(x)", "count(*)")} AS x
+    FROM component JOIN near_{k} USING (vec_id) GROUP BY ALL) mean
+  USING (cluster, place)),"""
+        for k in range(rounds + 1)
+    ]
+    return f"""
+WITH component AS MATERIALIZED (
+  SELECT vec_id, unnest(range(len(embedding))) AS place,
+         CAST(floor(1024 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+drawn AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR))) - 1 AS cluster
+  FROM (SELECT DISTINCT vec_id FROM component)),
+centroid_0 AS MATERIALIZED (
+  SELECT cluster, place, x FROM component JOIN drawn USING (vec_id) WHERE cluster < 8),
+{"".join(steps)}
+digest AS (
+  SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY place)) AS centroid_sha256
+  FROM centroid_{rounds} GROUP BY cluster)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(best.far AS BIGINT) AS distance,
+       CAST(sum(best.far) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.far) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM near_{rounds} JOIN digest ON digest.cluster = best.cluster
+"""
+
+
+ORACLE_SQL["op12_pivot_table"] = pivot_table_sql()
+
+
+@query
+def op13_warc_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    records = warc.read_archives(warc.write_archives(pages), with_payload=False)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return records.select(
+        warc.row_of("record_id", kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.row_of("refers_to", kind).alias("refers_to"),
+    )
+
+
+# Every 5 hexadecimal digits of SHA-1 are 4 digits of base 32.
+ORACLE_SQL["op13_warc_ranges"] = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+said AS (
+  SELECT page_id, strlen(html) AS payload_bytes,
+         array_to_string(
+           [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER)
+                     >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1, 1)
+            for i in range(32)], '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY html) AS first
+  FROM page)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM said
+"""
