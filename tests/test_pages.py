@@ -8,7 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from tierlake import end_of_pages, read_records, take_pages, union_pages, with_empty_flag
-from tierlake.operators.pages import PagesEnd, UnfinishedPages, find_end
+from tierlake.operators.pages import PagesEnd, UnfinishedPages, _words, find_end
+from tierlake.sources.pages import read_pages
 
 PAGES = "page BIGINT, status INT, body STRING"
 RECORD = T.StructType().add("id", "string").add("lon", "double").add("n", "integer")
@@ -166,3 +167,27 @@ def test_plan(spark, tmp_path):
     assert "ReadSchema: struct<page:bigint,status:int,body:string,empty:boolean>" in plan
     assert "LessThan(page,ScalarSubquery" in plan.replace(" ", "")
     assert "Join" not in plan and "CartesianProduct" not in plan and "Python" not in plan
+
+
+def test_the_end_and_its_cause_come_from_one_reading(spark, tmp_path, capsys):
+    rows = [(k, 200, "[1]") for k in range(70)] + [(70, 503, None), (70, 404, None), (71, 200, "[1]")]
+    pages = with_empty_flag(spark.createDataFrame(rows, "page BIGINT, status INT, body STRING"))
+    pages.write.parquet(str(tmp_path / "p"))
+    stored = read_pages(spark, str(tmp_path / "p"))
+    assert find_end(stored) == PagesEnd(70, 503, "refused")
+    words = _words(stored, with_status=True)
+    words.explain("formatted")
+    plan = capsys.readouterr().out
+    # With the flag and without it; a row group is read by one of the two.
+    assert plan.count("Scan parquet") == 2 * 2  # each scan is named twice
+    assert words.where("size(bad) > 0").count() == 1
+
+
+def test_a_good_copy_makes_up_for_bad_ones(spark):
+    rows = [(0, 503, None), (0, 200, "[1]"), (1, 200, "[]"), (1, 200, "[]"), (40, 500, None)]
+    pages = spark.createDataFrame(rows, "page BIGINT, status INT, body STRING")
+    assert find_end(pages) == PagesEnd(1, 200, "empty")
+    assert find_end(pages.where("page <> 1")) == PagesEnd(1, None, "missing")
+    assert find_end(pages.where("page > 100")) == PagesEnd(0, None, "missing")
+    nothing = spark.createDataFrame([(0, None, "[1]")], "page BIGINT, status INT, body STRING")
+    assert find_end(nothing) == PagesEnd(0, None, "refused")

@@ -2,6 +2,7 @@
 
 import io
 import json
+import random
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -122,6 +123,166 @@ class Answer(io.BytesIO):
     status = 200
 
 
+def waves_at(folder):
+    return {
+        wave.name: sorted(p.name for p in wave.iterdir() if p.name.startswith("part-"))
+        for wave in folder.glob("_landed.new-*/wave=*")
+    }
+
+
+@pytest.mark.parametrize("swap", ["rename", "pointer"])
+def test_a_failed_landing_goes_on_after_its_last_committed_wave(spark, tmp_path, swap):
+    service, target = tmp_path / "files", str(tmp_path / "landed")
+    service.mkdir()
+    url = write_pages(service, 12, 12)  # waves of 4 and 8 are there
+    for turn in range(2):
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            land_pages(spark, url, target, first_wave=4, pages_per_task=2, swap=swap)
+        if swap == "rename":
+            if turn:
+                assert before.items() <= waves_at(tmp_path).items()
+            before = waves_at(tmp_path)
+            assert {"wave=0", "wave=1"} <= before.keys()
+    # Committed waves are not asked for again: their pages may be gone.
+    for page in range(12):
+        (service / f"{page}.json").unlink()
+    for page in range(12, 28):
+        records = [{"id": f"{page}-{n}"} for n in range(3)] if page < 17 else []
+        (service / f"{page}.json").write_text(json.dumps(records))
+    assert land_pages(spark, url, target, first_wave=4, pages_per_task=2, swap=swap) == 28
+    landed = read_pages(spark, target)
+    assert landed.groupBy("page").count().where("count > 1").isEmpty()
+    records = read_records(take_pages(landed), RECORD)
+    assert records.count() == 51 and records.distinct().count() == 51
+    assert [p.name for p in tmp_path.iterdir() if "landing" in p.name or "new-" in p.name] == []
+
+
+def test_a_wave_that_was_written_but_not_committed_is_replaced(spark, tmp_path, monkeypatch):
+    service, target = tmp_path / "files", str(tmp_path / "landed")
+    service.mkdir()
+    url = write_pages(service, 9, 12)
+    whole = sources._landed_at
+
+    def killed_after_wave_1(staging):
+        def land(pages, wave):
+            whole(staging)(pages, wave)
+            if wave == 1:
+                raise RuntimeError("killed")
+
+        return land
+
+    monkeypatch.setattr(sources, "_landed_at", killed_after_wave_1)
+    with pytest.raises(PySparkException):
+        land_pages(spark, url, target, first_wave=4, pages_per_task=2)
+    assert waves_at(tmp_path).keys() == {"wave=0", "wave=1"}
+    monkeypatch.undo()
+    assert land_pages(spark, url, target, first_wave=4, pages_per_task=2) == 12
+    landed = read_pages(spark, target)
+    assert landed.groupBy("page").count().where("count > 1").isEmpty()
+    assert read_records(take_pages(landed), RECORD).count() == 27
+
+
+def test_an_old_landing_and_one_of_other_pages_start_over(spark, tmp_path):
+    service, target = tmp_path / "files", str(tmp_path / "landed")
+    service.mkdir()
+    url = write_pages(service, 4, 4)
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        land_pages(spark, url, target, first_wave=4)
+    write_pages(service, 2, 12)
+    assert land_pages(spark, url, target, first_wave=3) == 3  # its own waves
+    assert land_pages(spark, url, target, first_wave=4, lease=0) == 4
+    assert read_records(take_pages(read_pages(spark, target)), RECORD).count() == 6
+
+
+def test_a_refused_end_is_asked_for_again(spark, tmp_path, monkeypatch):
+    service, target = tmp_path / "files", str(tmp_path / "landed")
+    service.mkdir()
+    url = write_pages(service, 6, 6)
+    monkeypatch.setattr(sources, "_ends", lambda spark, wave: True)  # as if page 4 were refused
+    with pytest.raises(ValueError, match="page 4 is missing"):
+        land_pages(spark, url, target, first_wave=4, on_bad_page="fail")
+    assert list(tmp_path.iterdir()) == [service]
+
+
+def test_waves():
+    assert [sources.asked_in(k, 4, 20) for k in range(6)] == [0, 4, 12, 28, 48, 68]
+    assert sources.asked_in(2, 100, 10) == 200
+    stream = sources.PageStream({"url": "u", "first": "5", "first_wave": "4", "waves_done": "2"})
+    assert stream.initialOffset() == {"page": 5} and stream.latestOffset() == {"page": 33}
+    ranges = stream.partitions({"page": 17}, {"page": 33})
+    assert [(r.first, r.end) for r in ranges] == [(17, 25), (25, 33)]
+
+
+class Clock:
+    """Time that passes only while someone sleeps, for one task."""
+
+    def __init__(self, now):
+        self.now = now
+
+    def time(self):
+        return self.now
+
+    def sleep(self, seconds):
+        assert seconds >= 0
+        self.now += seconds
+
+
+@pytest.mark.parametrize("rate, lanes", [(5, 3), (2.5, 8), (40, 7)])
+def test_a_service_is_never_asked_faster_than_it_allows(monkeypatch, rate, lanes):
+    rng, asked, got = random.Random(1), [], []
+    options = {"url": "http://h/items", "pages": "60", "rate": str(rate), "lanes": str(lanes)}
+    reader = sources.PageReader(options)
+    for partition in reader.partitions():
+        clock = Clock(1_700_000_000 + rng.random())  # tasks start when they can
+
+        def answer(url, timeout, clock=clock):
+            asked.append(clock.now)
+            clock.now += rng.choice([0.001, 0.3, 3.0])  # and wait as long as it takes
+            if rng.random() < 0.3:
+                raise sources.HTTPError(url, 503, "busy", None, None)
+            return Answer(b"[1]")
+
+        monkeypatch.setattr(sources, "urlopen", answer)
+        monkeypatch.setattr(sources, "time", clock)
+        got += [page for page, status, _ in reader.read(partition)]
+    asked.sort()
+    # Requests are a slot apart, so in no second there are more than allowed.
+    assert min(b - a for a, b in zip(asked, asked[1:], strict=False)) > 0.999 / rate
+    assert len(set(got)) == len(got) and len(reader.partitions()) == lanes
+
+
+def test_each_page_is_in_one_lane():
+    reader = sources.PageReader({"url": "u", "first": "3", "pages": "20", "rate": "1", "lanes": "6"})
+    pages = [p for r in reader.partitions() for p in range(r.first, r.end, r.step)]
+    assert sorted(pages) == list(range(3, 23))
+
+
+@pytest.mark.parametrize(
+    "said, wait",
+    [("7", 7), (" 12 ", 12), ("Thu, 01 Jan 1970 00:01:40 GMT", 40), ("Thu, 01 Jan 1970 00:00:01 GMT", 0),
+     ("soon", 0), ("-5", 0), ("", 0), (None, 0)],
+)
+def test_retry_after(said, wait):
+    assert sources.seconds_to_wait({} if said is None else {"Retry-After": said}, 60.0) == wait
+    assert sources.seconds_to_wait(None, 60.0) == 0
+
+
+def test_a_service_that_names_a_time_is_not_asked_before(monkeypatch):
+    waits, turns = [], iter([{"Retry-After": "9"}, {"Retry-After": "0"}, None])
+
+    def answer(url, timeout):
+        headers = next(turns)
+        if headers is None:
+            return Answer(b"[]")
+        raise sources.HTTPError(url, 429, "slow down", headers, None)
+
+    monkeypatch.setattr(sources, "urlopen", answer)
+    monkeypatch.setattr(sources.time, "sleep", waits.append)
+    reader = sources.PageReader({"url": "http://h/items", "pages": "1", "wait": "0.5"})
+    assert list(reader.read(reader.partitions()[0])) == [(0, 200, "[]")]
+    assert waits == [9, 1]
+
+
 @pytest.mark.parametrize(
     "answers, rows, asked",
     [

@@ -8,7 +8,12 @@ work of every query grows with them. Queries that store something write below
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,10 +31,10 @@ from tierlake.operators.pages import (
 )
 from tierlake.operators.preview import preview
 from tierlake.plans.medallion import Medallion, row_counts, run
-from tierlake.session import scratch
+from tierlake.session import mount, scratch
 from tierlake.sinks.refresh import refresh
-from tierlake.sources.layers import read_layer
-from tierlake.sources.pages import read_page_files, read_pages
+from tierlake.sources.layers import list_files, read_layer
+from tierlake.sources.pages import land_pages, read_page_files, read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,6 +245,42 @@ def paged_files(spark, sf_dir):
     return read_records(take_pages(pages), EVENT)
 
 
+def page_service(pages: DataFrame, folder: str) -> None:
+    """A file ``<page>.json`` per page, written by the tasks; stands in for a paged service."""
+    place = folder.removeprefix("file://").removeprefix("file:")
+    Path(place).mkdir(parents=True, exist_ok=True)
+
+    def write(frames):
+        for frame in frames:
+            for page, body in zip(frame["page"], frame["body"], strict=True):
+                Path(f"{place}/{page}.json").write_text(body, encoding="utf-8")
+            yield frame[["page"]]
+
+    pages.select("page", "body").mapInPandas(write, "page BIGINT").count()
+
+
+@query(EVENT_SQL)
+def paged_landing_resumed(spark, sf_dir):
+    """A landing that fails in its third wave and goes on there when it is called again."""
+    pages = spark.read.parquet(landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END)))
+    last = pages.agg(F.max("page")).first()[0]
+    folder = f"{scratch(spark)}/service"
+    # Waves of 4, 8, 16, ... pages; of the third one nothing is there at first.
+    page_service(pages.where("page < 12"), folder)
+    url = f"file://{folder.removeprefix('file://').removeprefix('file:')}/{{page}}.json"
+    target = f"{scratch(spark)}/landed"
+    try:
+        land_pages(spark, url, target, first_wave=4, pages_per_task=4)
+    except (PySparkException, Py4JJavaError):
+        page_service(pages.where("page >= 12"), folder)
+        beyond = spark.range(last + 1, 4 * last + 64).select(
+            F.col("id").alias("page"), F.lit("[]").alias("body")
+        )
+        page_service(beyond, folder)
+        land_pages(spark, url, target, first_wave=4, pages_per_task=4)
+    return read_records(take_pages(read_pages(spark, target)), EVENT)
+
+
 @query(
     """SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, nullif(lang, 'de') AS lang, source, n_chars
        FROM documents"""
@@ -483,6 +524,67 @@ def sized_files_roundtrip(spark, sf_dir):
     return read_layer(spark, done.target, documents.schema)
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def packed_files_roundtrip(spark, sf_dir):
+    """Many small files, packed into a few of about 256 KB before they are published."""
+    documents = table(spark, sf_dir, "documents")
+    done = refresh(
+        documents, f"{scratch(spark)}/documents", max_records=100, file_bytes=256 << 10
+    )
+    return read_layer(spark, done.target, documents.schema)
+
+
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def concurrent_refreshes(spark, sf_dir):
+    """Four writers of one table at the same time, twice; the last one's rows are there, whole."""
+    documents, path = table(spark, sf_dir, "documents"), f"{scratch(spark)}/documents"
+    for swap in ("pointer", "rename"):
+        with ThreadPoolExecutor(4) as writers:
+            list(writers.map(lambda _, s=swap: refresh(documents, f"{path}-{s}", swap=s), range(4)))
+    by_pointer = read_layer(spark, f"{path}-pointer", documents.schema)
+    return by_pointer.intersectAll(read_layer(spark, f"{path}-rename", documents.schema))
+
+
+@query(
+    """SELECT 'events' AS layer, 0::BIGINT AS markers, count(*) AS rows FROM events
+       UNION ALL SELECT 'documents', 0, count(*) FROM documents"""
+)
+def no_marker_files(spark, sf_dir):
+    """The files of two layers, by folder and by run: data only."""
+    events = refresh(events_with_nulls(spark, sf_dir), f"{scratch(spark)}/events", "event_type")
+    documents = refresh(
+        table(spark, sf_dir, "documents"), f"{scratch(spark)}/documents", swap="pointer"
+    )
+    counts = [
+        list_files(spark, done.target).agg(
+            F.lit(name).alias("layer"),
+            F.count_if(~F.col("is_data")).alias("markers"),
+            F.lit(done.rows).cast("bigint").alias("rows"),
+        )
+        for name, done in (("events", events), ("documents", documents))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query(EVENTS_FILLED_SQL)
+def partition_hot_value(spark, sf_dir):
+    """Values far over the advised size, all read by one task, are written by many."""
+    filled = fill_defaults(events_with_nulls(spark, sf_dir)).coalesce(1)
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        done = refresh(filled, f"{scratch(spark)}/events", "event_type")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return read_layer(spark, done.target, filled.schema)
+
+
 @query(EVENTS_FILLED_SQL)
 def partition_roundtrip(spark, sf_dir):
     filled = fill_defaults(events_with_nulls(spark, sf_dir))
@@ -578,6 +680,23 @@ def medallion_gold(spark, sf_dir):
     return read_layer(spark, job.gold, job.gold_schema)
 
 
+@query(
+    f"""SELECT event_type, visitor, count(event_id) AS event_count
+        FROM ({EVENT_FILLED_SQL}) GROUP BY event_type, visitor"""
+)
+def medallion_on_mount(spark, sf_dir):
+    """Pages and layers on another scheme, by either swap."""
+    job = event_job(spark, sf_dir)
+    lake = mount(spark, {"/pages": job.pages, "/lake": scratch(spark)})
+    layers = {name: f"{lake}/lake/{name}" for name in ("bronze", "silver", "gold")}
+    run(spark, replace(job, pages=f"{lake}/pages", **layers, swap="pointer"))
+    again = replace(job, pages=f"{lake}/pages", **{k: f"{v}-2" for k, v in layers.items()})
+    run(spark, again)
+    return read_layer(spark, layers["gold"], job.gold_schema).intersectAll(
+        read_layer(spark, again.gold, job.gold_schema)
+    )
+
+
 @query(
     f"""SELECT event_type, visitor, count(event_id) AS event_count
         FROM ({EVENT_FILLED_SQL}) GROUP BY event_type, visitor"""

@@ -5,8 +5,12 @@ They go through Hadoop's FileSystem, so any scheme the session can read works.
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
+from collections.abc import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -49,6 +53,56 @@ class Files:
             return []
         return [status.getPath().getName() for status in fs.listStatus(location)]
 
+    def age(self, path: str) -> float:
+        """Seconds since the file or folder was last changed; endless if it is not there."""
+        fs, location = self._at(path)
+        try:
+            return time.time() - fs.getFileStatus(location).getModificationTime() / 1000
+        except Py4JJavaError as error:
+            if _is(error, "FileNotFoundException"):
+                return float("inf")
+            raise
+
+    def create_new(self, path: str) -> bool:
+        """Make an empty file where none is; of several callers one gets True.
+
+        The folder must be there. HDFS, ABFS and GCS create exclusively by themselves.
+        """
+        fs, location = self._at(path)
+        folder = fs.resolvePath(location.getParent()).toUri()
+        if folder.getScheme() == "file":  # Hadoop looks first and creates then
+            try:
+                flags = os.O_CREAT | os.O_EXCL | os.O_WRONLY
+                os.close(os.open(f"{folder.getPath()}/{location.getName()}", flags, 0o644))
+            except FileExistsError:
+                return False
+            return True
+        try:
+            fs.create(location, False).close()
+        except Py4JJavaError as error:
+            if _is(error, "FileAlreadyExistsException"):
+                return False
+            raise
+        return True
+
+    def files(self, path: str) -> Iterator[tuple[str, int, int]]:
+        """``(path below, bytes, milliseconds of last change)`` of all files, hidden ones too.
+
+        The checksums that Hadoop keeps beside local files are none of them.
+        """
+        fs, location = self._at(path)
+        if not fs.exists(location):
+            return
+        top = fs.getFileStatus(location).getPath().toUri().getPath().rstrip("/")
+        found = fs.listFiles(location, True)
+        while found.hasNext():
+            status = found.next()
+            below = status.getPath().toUri().getPath().removeprefix(f"{top}/")
+            name = below.rpartition("/")[2]
+            if name.startswith(".") and name.endswith(".crc"):
+                continue
+            yield below, status.getLen(), status.getModificationTime()
+
     def read_text(self, path: str) -> str:
         fs, location = self._at(path)
         stream = fs.open(location)
@@ -66,7 +120,16 @@ class Files:
             stream.close()
 
 
-def sibling(target: str, label: str) -> str:
-    """A fresh hidden path next to ``target``; readers skip names that start with ``_``."""
+def _is(error: Py4JJavaError, name: str) -> bool:
+    return error.java_exception.getClass().getName().endswith(f".{name}")
+
+
+def beside(target: str, label: str) -> str:
+    """A hidden path next to ``target``; readers skip names that start with ``_``."""
     parent, slash, name = target.rstrip("/").rpartition("/")
-    return f"{parent}{slash}_{name}.{label}-{uuid.uuid4().hex}"
+    return f"{parent}{slash}_{name}.{label}"
+
+
+def sibling(target: str, label: str) -> str:
+    """A fresh hidden path next to ``target``."""
+    return beside(target, f"{label}-{uuid.uuid4().hex}")

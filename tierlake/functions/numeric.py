@@ -34,9 +34,25 @@ def _unicode_forms() -> tuple[str, str]:
     return "".join(chars), "".join(plain)
 
 
+def _plain_double(given: Column) -> Column:
+    """The value of a plain number text such as ``-1.5e3``; null for most others.
+
+    Of texts that begin with a sign, point or digit, end with a point or digit
+    and hold no x, the cast reads exactly those that ``float`` reads: no blanks,
+    words, suffixes or hexadecimal digits are left.
+    """
+    begins, ends = F.ascii(given).between(43, 57), F.ascii(F.right(given, F.lit(1))).between(46, 57)
+    hexadecimal = F.contains(given, F.lit("x")) | F.contains(given, F.lit("X"))
+    return F.when(begins & ends & ~hexadecimal, given.try_cast("double"))
+
+
 def safe_double(value: Column | str) -> Column:
     """A STRING column as DOUBLE; null where Python's ``float`` would fail."""
     given = as_column(value)
+    return F.coalesce(_plain_double(given), _any_double(given))
+
+
+def _any_double(given: Column) -> Column:
     is_ascii = F.octet_length(given) == F.char_length(given)
     text = F.when(is_ascii, given).otherwise(F.translate(given, *_unicode_forms()))
     number = F.replace(F.btrim(text, F.lit(_BLANKS)), F.lit("_"), F.lit("")).try_cast("double")

@@ -87,56 +87,69 @@ def _good() -> Column:
     return F.col("status").eqNullSafe(200) & ~F.col("empty")
 
 
-def end_of_pages(pages: DataFrame) -> DataFrame:
-    """One row, one column ``stop``: the first page number without a good page.
-
-    A row without a page number is an error: it may be any page.
+def _words(pages: DataFrame, *, with_status: bool) -> DataFrame:
+    """``word, seen``: which of each 32 page numbers have a good page.
 
     Each page says "this number is here" and "the next number is expected";
     ``bit_or`` folds both into one word per 32 numbers before the shuffle, so
     the shuffle carries about 1/32 of the page numbers and no task sees all.
+    With ``with_status`` a word also has ``bad``, the distinct ``(n, status)`` of
+    its pages that are not good: a few per number, and only where there are any.
     """
     numbered = F.when(
         F.col("page").isNull(), F.raise_error(F.lit("a page has no number")).cast("boolean")
     ).otherwise(F.col("page") >= 0)
-    numbers = (
-        _narrow(pages)
-        .where(numbered)
-        .select(F.col("page").cast("bigint").alias("page"), _good().cast("bigint").alias("here"))
-    )
-    here = F.struct(F.col("page").alias("n"), "here")
-    following = F.struct((F.col("page") + 1).alias("n"), F.lit(0).cast("bigint").alias("here"))
-    marks = numbers.select(F.inline(F.array(here, following)))
+    n, number = F.col("page").cast("bigint"), "bigint"
+    nothing = F.lit(None).cast("struct<n: bigint, status: int>")
+    refused = F.when(~_good(), F.struct(n.alias("n"), "status"))
+    here = F.struct(n.alias("n"), _good().cast(number).alias("here"), refused.alias("bad"))
+    following = F.struct((n + 1).alias("n"), F.lit(0).cast(number).alias("here"), nothing.alias("bad"))
+    marks = _narrow(pages).where(numbered).select(F.inline(F.array(here, following)))
     first = pages.sparkSession.range(0, 1, 1, 1).select(
-        F.col("id").alias("n"), F.lit(0).cast("bigint").alias("here")
-    )
-    words = (
-        marks.unionByName(first)
-        .groupBy(F.expr(f"shiftright(n, {_WORD_BITS})").alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(here, cast(n & {2**_WORD_BITS - 1} as int))")).alias("seen"))
+        F.col("id").alias("n"), F.lit(0).cast(number).alias("here"), nothing.alias("bad")
     )
+    seen = F.bit_or(F.expr(f"shiftleft(here, cast(n & {2**_WORD_BITS - 1} as int))")).alias("seen")
+    folds = [seen, F.collect_set("bad").alias("bad")] if with_status else [seen]
+    words = marks.unionByName(first).groupBy(F.expr(f"shiftright(n, {_WORD_BITS})").alias("word"))
+    return words.agg(*folds).where(F.col("seen") != _FULL_WORD)
+
+
+def _first_gap() -> Column:
+    """The first number of a word without a good page."""
     leading = F.bit_count(F.col("seen").bitwiseAND(F.bitwise_not(F.col("seen") + 1)))
-    return words.where(F.col("seen") != _FULL_WORD).agg(
-        F.min(F.col("word") * 2**_WORD_BITS + leading).alias("stop")
-    )
+    return F.col("word") * 2**_WORD_BITS + leading
+
+
+def end_of_pages(pages: DataFrame) -> DataFrame:
+    """One row, one column ``stop``: the first page number without a good page.
+
+    A row without a page number is an error: it may be any page.
+    """
+    return _words(pages, with_status=False).agg(F.min(_first_gap()).alias("stop"))
 
 
 def find_end(pages: DataFrame) -> PagesEnd:
-    """The end of ``pages`` and its cause: ``empty``, ``refused`` or ``missing``."""
-    there = F.col("page") == end_of_pages(pages).scalar()
+    """The end of ``pages`` and its cause: ``empty``, ``refused`` or ``missing``.
+
+    The statuses of pages that are not good ride along in the words, so pages
+    are read once.
+    """
+    first = _words(pages, with_status=True).agg(
+        F.min(_first_gap()).alias("stop"), F.min_by("bad", "word").alias("bad")
+    )
+    there = F.filter("bad", lambda page: page["n"] == F.col("stop"))
     row = (
-        _narrow(pages)
-        .agg(
-            F.first(end_of_pages(pages).scalar()).alias("stop"),
-            F.count_if(there).alias("n"),
-            F.max(F.when(there, F.col("status"))).alias("status"),
-            F.count_if(there & ~F.col("status").eqNullSafe(200)).alias("refused"),
+        first.select("stop", F.transform(there, lambda page: page["status"]).alias("statuses"))
+        .select(
+            "stop",
+            F.size("statuses").alias("n"),
+            F.array_max("statuses").alias("status"),
+            F.exists("statuses", lambda status: ~status.eqNullSafe(200)).alias("refused"),
         )
         .first()
     )
-    stop = row.stop if row.stop is not None else 0  # no rows at all
     cause = "refused" if row.refused else "empty" if row.n else "missing"
-    return PagesEnd(stop, row.status, cause)
+    return PagesEnd(row.stop, row.status, cause)
 
 
 def checked_end(end: PagesEnd, on_bad_page: str) -> PagesEnd:

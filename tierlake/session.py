@@ -38,6 +38,21 @@ def builder(app: str, settings: dict[str, str] | None = None) -> SparkSession.Bu
     return session
 
 
+def mount(spark: SparkSession, links: dict[str, str], name: str | None = None) -> str:
+    """``viewfs://name``, a file system in which ``links`` maps folders such as ``/lake`` to URIs.
+
+    Layers, pages and jobs can then be named by stable paths while stores move
+    or differ. The table holds for this session and its tasks; a name that is
+    in use already would keep the links it had, so one is made up by default.
+    Folders cannot be renamed from one link to another: a table and what is
+    beside it must be under the same one.
+    """
+    name = name or f"m{uuid.uuid4().hex}"
+    for folder, uri in links.items():
+        spark.conf.set(f"fs.viewfs.mounttable.{name}.link.{folder}", uri)
+    return f"viewfs://{name}"
+
+
 def scratch(spark: SparkSession) -> str:
     """A fresh folder every executor can reach, under ``spark.checkpoint.dir``.
 

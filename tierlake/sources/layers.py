@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -47,3 +49,28 @@ def read_layer(
     if schema is None:
         return reader.parquet(path)
     return reader.schema(schema).parquet(path).select(*(exact(name) for name in schema.names))
+
+
+LISTING = "path STRING, bytes BIGINT, modified TIMESTAMP, is_data BOOLEAN"
+
+
+def list_files(spark: SparkSession, target: str, *, every_run: bool = False) -> DataFrame:
+    """The files that make up a table, hidden ones and markers too: ``LISTING``.
+
+    ``path`` is below the table's folder, ``is_data`` false for whatever a
+    Parquet reader does not read: a name, or a folder on the way, that begins
+    with ``_`` or ``.``, or another ending. Of a table published with
+    ``swap="pointer"`` the current run is listed; ``every_run`` lists the whole
+    folder, pointers included. One row a file, listed by the driver.
+    """
+    path = target.rstrip("/") if every_run else layer_path(spark, target)
+    rows = [
+        (
+            below,
+            size,
+            datetime.fromtimestamp(changed / 1000, timezone.utc),
+            below.endswith(".parquet") and not any(n[:1] in "._" for n in below.split("/")),
+        )
+        for below, size, changed in Files(spark).files(path)
+    ]
+    return spark.createDataFrame(rows, LISTING)
