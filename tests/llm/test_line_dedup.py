@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from tierlake.llm.line_dedup import Cuckoo, LineIndex, digest, drop_repeated_lines, halves
+from tierlake.llm import line_dedup
+from tierlake.llm.line_dedup import Cuckoo, LineIndex, Probe, drop_repeated_lines
 
 BLANKS = " \t\n\x0b\x0c\r"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -63,24 +64,48 @@ def test_repeats_nulls_and_empty(spark, twice, rows, nothing):
     assert [tuple(r) for r in drop_repeated_lines(table, 1).collect()] == [(None, 1, 0, "")]
 
 
-def test_blank_lines_stay_if_a_filter_passes_their_key(spark):
-    # A line with the fingerprint and the buckets of the empty key, in a filter of two buckets.
-    digests = [digest(b"")] + [digest(f"line {k}".encode()) for k in range(400_000)]
-    prints, first, second = Cuckoo.places(halves(digests)[1], 2)
-    same = (prints == prints[0]) & ((first == first[0]) | (first == second[0]))
-    line = f"line {np.flatnonzero(same)[1] - 1}"
-    rows = [(k, f"{line}\n\n own {k}\n \t") for k in range(3)]
+def test_blank_lines_stay_if_a_filter_passes_their_key(spark, monkeypatch):
+    rows = [(k, f"line\n\n own {k}\n \t") for k in range(3)]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     index = LineIndex(spark, min_docs=3, shards=1)
     index.insert(table)
-    assert index._probe().may_hold([digest(b"")]).all()
+    keys = spark.createDataFrame([("",), ("line",)], "key string")
+    lows = [r[0] for r in keys.select(line_dedup.low_half(keys.key)).collect()]
+    held = Cuckoo.sized(4)
+    assert all(held.add(low % (1 << 64)) for low in lows)
+    both = Probe([(0, held.buckets, held.table.tobytes())], 1, np.zeros((0, 2), dtype=np.uint64))
+    monkeypatch.setattr(index, "_probe", lambda: both)
     assert found(index.drop(table)) == expected(rows, 3)
 
 
+def test_false_positives_travel_as_exceptions():
+    """A filter of two keys that also passes a third one with the same fingerprint and bucket."""
+    rng = random.Random(9)
+    high = np.array([rng.getrandbits(64) for _ in range(3)], dtype=np.uint64)
+    low = np.array([5, 6, 5 + (1 << 62)], dtype=np.uint64)
+    held = Cuckoo.sized(2)
+    assert held.add(5) and held.add(6)
+    rows = [(0, held.buckets, held.table.tobytes())]
+    bare = Probe(rows, 1, np.zeros((0, 2), dtype=np.uint64))
+    assert bare.holds(high, low).tolist() == [True, True, True]
+    wrong = np.array([[high[2], low[2]], [high[2], low[0]], [high[0], low[1]]], dtype=np.uint64)
+    assert Probe(rows, 1, wrong).holds(high, low).tolist() == [True, True, False]
+
+
+def test_shards_grow_with_the_frequent_keys(spark, docs, rows, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 3)
+    index = LineIndex(spark, min_docs=2, shards=1)
+    for k in range(2):
+        index.insert(docs.where(f"doc_id % 2 = {k}"))
+    sizes = {r.shard: r["keys"] for r in index.filters.collect()}
+    assert index.shards > 1 and len(sizes) > 1
+    assert sum(sizes.values()) == index.refs.where("n >= 2").count()
+    assert found(index.drop(docs)) == expected(rows, 2)
+
+
 def test_cuckoo_filter():
     rng = random.Random(3)
-    keys = [digest(str(rng.random()).encode()) for _ in range(5_000)]
-    low = [int(x) for x in halves(keys)[1]]
+    low = [rng.getrandbits(64) for _ in range(5_000)]
     held = Cuckoo.sized(len(low))
     assert all(held.add(k) for k in low)
 

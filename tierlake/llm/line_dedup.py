@@ -8,62 +8,71 @@ digest, two tables a version:
   documents or more hold, that is, the lines to drop.
 
 Inserting documents adds to the counts, deleting them subtracts, and only keys
-that cross the threshold go into or out of a filter. Whoever probes with a line
-gets no false negative; the false positives among all keys there are (about one
-in ten thousand) are found by probing the counts once, and travel with the
-filters as exact exceptions. So documents are rewritten in one pass without a
-shuffle of their texts. When the filters outgrow ``max_filter_bytes``, lines
-are joined with the exact counts instead.
-
-A common line reaches the counts as one row per task and batch.
+that cross the threshold go into or out of a filter; when shards grow over
+``SHARD_KEYS`` keys there are twice as many and the filters are built anew.
+Whoever probes with a line gets no false negative; the false positives among
+all keys there are (about one in 500 million) are found by probing the counts
+once, and travel with the filters as exact exceptions. So documents are
+rewritten in one pass without a shuffle of their texts. When filters or
+exceptions outgrow ``max_filter_bytes``, lines are joined with the exact counts
+instead.
+
+Lines, keys and digests are made by built-in functions and texts never leave
+the JVM: Python gets the digests of a document's lines and says which are in a
+filter. A common line reaches the counts as one row per task and batch.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import BLANKS, stored, texts
+from tierlake.llm.common import BLANKS, ascii_lower, stored, texts
 from tierlake.session import scratch
 
 SLOTS = 4
 KICKS = 500
-STRIP = BLANKS.encode()
+#: Frequent keys a shard, at most.
+SHARD_KEYS = 100_000
 
 
+def lines_of(text: Column) -> Column:
+    """The lines of a text; a null one is one empty line."""
+    return F.split(F.coalesce(text, F.lit("")), "\n")
 
-def line_key(line: bytes) -> bytes:
-    """Blanks off both ends, A-Z lower-cased; ``bytes.lower`` leaves all else alone."""
-    return line.strip(STRIP).lower()
 
+def line_key(line: Column) -> Column:
+    """Blanks off both ends, A-Z lower-cased."""
+    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
 
-def digest(key: bytes) -> bytes:
-    return hashlib.blake2b(key, digest_size=16).digest()
 
+def high_half(key: Column) -> Column:
+    return F.xxhash64(key)
 
-def halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    pairs = np.frombuffer(b"".join(digests), dtype="<u8").reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
 
+def low_half(key: Column) -> Column:
+    """The other half of a key's 128-bit digest: the same hash from another seed."""
+    return F.xxhash64(F.lit("line"), key)
 
-def shard_of(digests: list[bytes], shards: int) -> np.ndarray:
-    return (halves(digests)[0] % np.uint64(shards)).astype(np.int64)
+
+def unsigned(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).view(np.uint64)
 
 
 class Cuckoo:
-    """Buckets of four 16-bit fingerprints; a key lies in one of two buckets.
+    """Buckets of four 32-bit fingerprints; a key lies in one of two buckets.
 
     ``table`` has one row a bucket, a power of two of them; 0 is a free slot.
     """
 
     def __init__(self, buckets: int, table: np.ndarray | None = None):
         self.buckets = buckets
-        self.table = np.zeros((buckets, SLOTS), dtype="<u2") if table is None else table
+        self.table = np.zeros((buckets, SLOTS), dtype="<u4") if table is None else table
 
     @classmethod
     def sized(cls, keys: int) -> Cuckoo:
@@ -74,10 +83,10 @@ class Cuckoo:
     def places(low: np.ndarray, buckets) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprint and both buckets for the second digest halves."""
         mask = np.asarray(buckets, dtype=np.uint64) - np.uint64(1)
-        print_ = low & np.uint64(0xFFFF)
+        print_ = low & np.uint64(0xFFFFFFFF)
         print_ = np.where(print_ == 0, np.uint64(1), print_)
-        first = (low >> np.uint64(16)) & mask
-        return print_.astype("<u2"), first, first ^ (print_ * np.uint64(0x5BD1E995) & mask)
+        first = (low >> np.uint64(32)) & mask
+        return print_.astype("<u4"), first, first ^ (print_ * np.uint64(0x5BD1E995) & mask)
 
     def add(self, low: int) -> bool:
         """False when no place was found; the filter must then be built larger."""
@@ -110,22 +119,20 @@ class Cuckoo:
 class Probe:
     """All shards' filters side by side, with the keys they wrongly pass."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes]], shards: int, exceptions: set[bytes]):
-        # The key of blanks alone is not counted, so nothing else tells that it is passed wrongly.
-        self.shards, self.exceptions = shards, exceptions | {digest(b"")}
+    def __init__(self, rows: list[tuple[int, int, bytes]], shards: int, wrong: np.ndarray):
+        """``wrong``: the ``high, low`` digest halves of those keys, a row a key."""
+        self.shards = shards
+        self.wrong = wrong[np.argsort(wrong[:, 0], kind="stable")]
         self.buckets = np.ones(shards, dtype=np.uint64)
         self.start = np.zeros(shards, dtype=np.int64)
-        tables, at = [np.zeros((1, SLOTS), dtype="<u2")], 1  # shards without a filter: one empty bucket
+        tables, at = [np.zeros((1, SLOTS), dtype="<u4")], 1  # shards without a filter: one empty bucket
         for shard, buckets, table in rows:
             self.buckets[shard], self.start[shard] = buckets, at
-            tables.append(np.frombuffer(table, dtype="<u2").reshape(buckets, SLOTS))
+            tables.append(np.frombuffer(table, dtype="<u4").reshape(buckets, SLOTS))
             at += buckets
         self.table = np.concatenate(tables)
 
-    def may_hold(self, digests: list[bytes]) -> np.ndarray:
-        if not digests:
-            return np.zeros(0, dtype=bool)
-        high, low = halves(digests)
+    def may_hold(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
         shard = (high % np.uint64(self.shards)).astype(np.int64)
         prints, first, second = Cuckoo.places(low, self.buckets[shard])
         start = self.start[shard]
@@ -134,34 +141,28 @@ class Probe:
             found |= (self.table[start + bucket.astype(np.int64)] == prints[:, None]).any(axis=1)
         return found
 
-    def holds(self, digests: list[bytes]) -> np.ndarray:
-        """Exact for every key that is in the counts, and for the empty one."""
-        found = self.may_hold(digests)
-        for i in np.flatnonzero(found):
-            if digests[i] in self.exceptions:
-                found[i] = False
+    def holds(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Exact for every key that is in the counts."""
+        found = self.may_hold(high, low)
+        if len(self.wrong):
+            at = np.flatnonzero(found)
+            begin = np.searchsorted(self.wrong[:, 0], high[at], "left")
+            end = np.searchsorted(self.wrong[:, 0], high[at], "right")
+            for k in np.flatnonzero(end > begin):
+                if (self.wrong[begin[k] : end[k], 1] == low[at[k]]).any():
+                    found[at[k]] = False
         return found
 
 
-def lines_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split(b"\n")
-
-
 def counted(docs: DataFrame) -> DataFrame:
-    """``digest, n``: documents per key, summed over each batch."""
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts: dict[bytes, int] = {}
-            for text in frame["text"]:
-                for key in {line_key(line) for line in lines_of(text)}:
-                    if key:
-                        counts[key] = counts.get(key, 0) + 1
-            yield pd.DataFrame(
-                {"digest": [digest(k) for k in counts], "n": list(counts.values())}
-            ).astype({"n": "int64"})
-
-    return docs.select("text").mapInPandas(batches, "digest binary, n long")
+    """``high, low, n``: documents per key."""
+    keys = F.filter(
+        F.array_distinct(F.transform(lines_of(F.col("text")), line_key)),
+        lambda key: F.char_length(key) > 0,
+    )
+    keys = docs.select(F.explode(keys).alias("key"))
+    halves = keys.select(high_half(F.col("key")).alias("high"), low_half(F.col("key")).alias("low"))
+    return halves.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n"))
 
 
 class LineIndex:
@@ -177,10 +178,11 @@ class LineIndex:
     ):
         self.spark, self.folder = spark, folder or scratch(spark)
         self.min_docs, self.shards, self.max_filter_bytes = min_docs, shards, max_filter_bytes
-        self.refs = spark.createDataFrame([], "shard int, digest binary, n long")
-        self.filters = spark.createDataFrame(
-            [], "shard int, buckets int, keys long, table binary"
-        )
+        self.refs = spark.createDataFrame([], "high long, low long, n long")
+        self.filters = self._no_filters()
+
+    def _no_filters(self) -> DataFrame:
+        return self.spark.createDataFrame([], "shard int, buckets int, keys long, table binary")
 
     def insert(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Every row is a document; a null text is one empty line."""
@@ -191,34 +193,30 @@ class LineIndex:
         self._apply(texts(docs, id_col, text_col), -1)
 
     def _apply(self, docs: DataFrame, sign: int) -> None:
-        shards, min_docs = self.shards, self.min_docs
+        min_docs = self.min_docs
         delta = counted(docs).select(
-            "digest", (F.col("n") * sign).alias("n"), F.lit(0).cast("long").alias("old")
+            "high", "low", (F.col("n") * sign).alias("n"), F.lit(0).cast("long").alias("old")
         )
-        both = self.refs.select("digest", "n", F.col("n").alias("old")).unionByName(delta)
-        summed = both.groupBy("digest").agg(F.sum("n").alias("n"), F.sum("old").alias("old"))
-
-        def sharded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                keys = [bytes(d) for d in frame["digest"]]
-                shard = shard_of(keys, shards) if keys else np.zeros(0, dtype=np.int64)
-                yield frame.assign(shard=shard.astype("int32"))[["shard", "digest", "n", "old"]]
-
+        both = self.refs.select("high", "low", "n", F.col("n").alias("old")).unionByName(delta)
         state = stored(
-            summed.mapInPandas(sharded, "shard int, digest binary, n long, old long"), self.folder
+            both.groupBy("high", "low").agg(F.sum("n").alias("n"), F.sum("old").alias("old")),
+            self.folder,
         )
         dropped = state.where((F.col("n") >= min_docs) | (F.col("old") >= min_docs))
+        frequent = dropped.where(F.col("n") >= min_docs).count()
+        while frequent > self.shards * SHARD_KEYS:
+            self.shards, self.filters = 2 * self.shards, self._no_filters()
 
         def refilter(keys: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
             """One shard: its keys over the threshold now or before, and its filter."""
             shard = int(keys["shard"].iloc[0] if len(keys) else old["shard"].iloc[0])
-            low = halves([bytes(d) for d in keys["digest"]])[1] if len(keys) else np.zeros(0, "u8")
+            low = keys["low"].to_numpy(dtype=np.int64).view(np.uint64)
             now, was = (keys["n"] >= min_docs).to_numpy(), (keys["old"] >= min_docs).to_numpy()
             held = Cuckoo.sized(0)
             fits = len(old) > 0
             if fits:
                 buckets = int(old["buckets"].iloc[0])
-                table = np.frombuffer(old["table"].iloc[0], dtype="<u2").reshape(-1, SLOTS)
+                table = np.frombuffer(old["table"].iloc[0], dtype="<u4").reshape(-1, SLOTS)
                 held = Cuckoo(buckets, table.copy())
                 for k in low[was & ~now]:
                     held.remove(int(k))
@@ -239,13 +237,16 @@ class LineIndex:
                 }
             )
 
+        # Shards count digests as unsigned numbers, as the filters do.
+        shard = F.expr(f"cast(pmod(cast(high as decimal(20)) + if(high < 0, {1 << 64}BD, 0BD), {self.shards}) as int)")
         self.filters = stored(
-            dropped.groupBy("shard")
+            dropped.select(shard.alias("shard"), "low", "n", "old")
+            .groupBy("shard")
             .cogroup(self.filters.groupBy("shard"))
             .applyInPandas(refilter, self.filters.schema),
             self.folder,
         )
-        self.refs = state.where("n > 0").select("shard", "digest", "n")
+        self.refs = state.where("n > 0").select("high", "low", "n")
 
     def _probe(self) -> Probe | None:
         """The filters with their exceptions, or None when they are too large to send out."""
@@ -253,19 +254,22 @@ class LineIndex:
         if size > self.max_filter_bytes:
             return None
         rows = [(r.shard, r.buckets, bytes(r.table)) for r in self.filters.collect()]
-        bare = self.spark.sparkContext.broadcast(Probe(rows, self.shards, set()))
+        bare = Probe(rows, self.shards, np.zeros((0, 2), dtype=np.uint64))
+        sent = self.spark.sparkContext.broadcast(bare)
 
-        def wrong(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                keys = [bytes(d) for d in frame["digest"]]
-                yield frame[bare.value.may_hold(keys)]
+        def wrong(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = sent.value.may_hold(unsigned(batch["high"]), unsigned(batch["low"]))
+                yield batch.filter(pa.array(held))
 
-        few = self.refs.where(F.col("n") < self.min_docs).select("digest")
+        few = self.refs.where(F.col("n") < self.min_docs).select("high", "low")
         limit = self.max_filter_bytes // 16
-        found = few.mapInPandas(wrong, "digest binary").limit(limit + 1).collect()
+        found = few.mapInArrow(wrong, "high long, low long").limit(limit + 1).toArrow()
+        sent.destroy()
         if len(found) > limit:
             return None
-        return Probe(rows, self.shards, {bytes(r.digest) for r in found})
+        halves = [found[name].combine_chunks() for name in ("high", "low")]
+        return Probe(rows, self.shards, np.stack([unsigned(half) for half in halves], axis=1))
 
     def drop(
         self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
@@ -276,75 +280,55 @@ class LineIndex:
         document; lines of blanks only never go. The others stay as they are,
         joined by line feeds. A null or empty text is one empty line.
         """
-        rows = texts(docs, id_col, text_col)
-        kind = docs.schema[id_col].dataType.simpleString()
-        schema = f"doc_id {kind}, n_lines long, n_dropped long, kept string"
+        rows = texts(docs, id_col, text_col).withColumn("lines", lines_of(F.col("text")))
         probe = self._probe()
         if probe is None:
-            return self._drop_by_join(rows, schema)
+            return self._drop_by_join(rows)
         sent = self.spark.sparkContext.broadcast(probe)
 
-        def rewrite(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                lines = [lines_of(text) for text in frame["text"]]
-                keys = [digest(line_key(line)) for of in lines for line in of]
-                gone = sent.value.holds(keys)
-                ends = np.cumsum([len(of) for of in lines])
-                total = np.concatenate(([0], np.cumsum(gone)))
-                kept = []
-                for of, end in zip(lines, ends, strict=True):
-                    mark = gone[end - len(of) : end]
-                    if mark.any():
-                        of = [line for line, out in zip(of, mark, strict=True) if not out]
-                    kept.append(b"\n".join(of).decode())
-                counts = np.array([len(of) for of in lines], dtype=np.int64)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": frame["doc_id"],
-                        "n_lines": counts,
-                        "n_dropped": total[ends] - total[ends - counts] if len(ends) else counts,
-                        "kept": kept,
-                    }
-                )
+        @F.arrow_udf("array<boolean>")
+        def held(high: pa.Array, low: pa.Array) -> pa.Array:
+            """Which of each document's lines are in a filter."""
+            found = sent.value.holds(unsigned(high.flatten()), unsigned(low.flatten()))
+            sizes = high.value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(found))
 
-        return rows.mapInPandas(rewrite, schema)
+        keys = F.transform("lines", line_key)
+        high, low = F.transform(keys, high_half), F.transform(keys, low_half)
+        return without(rows.withColumn("gone", held(high, low)))
 
-    def _drop_by_join(self, rows: DataFrame, schema: str) -> DataFrame:
+    def _drop_by_join(self, rows: DataFrame) -> DataFrame:
         """The same without filters: each document's distinct keys joined with the exact counts."""
         numbered = stored(rows.withColumn("row", F.monotonically_increasing_id()), self.folder)
-
-        def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                found = [
-                    (row, digest(key))
-                    for row, text in zip(frame["row"], frame["text"], strict=True)
-                    for key in {line_key(line) for line in lines_of(text)}
-                ]
-                yield pd.DataFrame(found, columns=["row", "digest"]).astype({"row": "int64"})
-
-        frequent = self.refs.where(F.col("n") >= self.min_docs).select("digest")
-        gone = (
-            numbered.select("row", "text")
-            .mapInPandas(keys, "row long, digest binary")
-            .join(frequent, "digest")
-            .groupBy("row")
-            .agg(F.collect_list("digest").alias("gone"))
+        digest = F.struct(high_half(F.col("key")).alias("high"), low_half(F.col("key")).alias("low"))
+        keys = numbered.select(
+            "row", F.explode(F.array_distinct(F.transform("lines", line_key))).alias("key")
         )
-
-        def rewrite(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                out = []
-                for doc_id, text, gone in zip(
-                    frame["doc_id"], frame["text"], frame["gone"], strict=True
-                ):
-                    drop = set() if gone is None else {bytes(g) for g in gone}
-                    lines = lines_of(text)
-                    kept = [x for x in lines if digest(line_key(x)) not in drop]
-                    out.append((doc_id, len(lines), len(lines) - len(kept), b"\n".join(kept).decode()))
-                yield pd.DataFrame(out, columns=["doc_id", "n_lines", "n_dropped", "kept"])
-
-        joined = numbered.join(gone, "row", "left").select("doc_id", "text", "gone")
-        return joined.mapInPandas(rewrite, schema)
+        frequent = self.refs.where(F.col("n") >= self.min_docs).select("high", "low")
+        keys = keys.where(F.char_length("key") > 0).select("row", "key", digest.alias("digest"))
+        found = keys.select("row", "key", "digest.*").join(frequent, ["high", "low"])
+        found = found.groupBy("row").agg(F.collect_list("key").alias("keys"))
+        joined = numbered.join(found, "row", "left")
+        gone = F.transform(
+            "lines", lambda line: F.coalesce(F.array_contains("keys", line_key(line)), F.lit(False))
+        )
+        return without(joined.withColumn("gone", gone))
+
+
+def without(rows: DataFrame) -> DataFrame:
+    """The result of ``drop`` from ``doc_id, lines, gone``; blank lines stay whatever ``gone`` says."""
+    stays = F.filter(
+        F.arrays_zip("lines", "gone"),
+        lambda x: ~x["gone"] | (F.char_length(F.btrim(x["lines"], F.lit(BLANKS))) == 0),
+    )
+    kept = rows.select("doc_id", "lines", F.transform(stays, lambda x: x["lines"]).alias("stays"))
+    return kept.select(
+        "doc_id",
+        F.size("lines").cast("long").alias("n_lines"),
+        (F.size("lines") - F.size("stays")).cast("long").alias("n_dropped"),
+        F.array_join("stays", "\n").alias("kept"),
+    )
 
 
 def drop_repeated_lines(
