@@ -93,7 +93,7 @@ def test_false_positives_travel_as_exceptions():
 
 
 def test_shards_grow_with_the_frequent_keys(spark, docs, rows, monkeypatch):
-    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 3)
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 1)
     index = LineIndex(spark, min_docs=2, shards=1)
     for k in range(2):
         index.insert(docs.where(f"doc_id % 2 = {k}"))

@@ -133,7 +133,7 @@ class Probe:
         self.table = np.concatenate(tables)
 
     def may_hold(self, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        shard = (high % np.uint64(self.shards)).astype(np.int64)
+        shard = high.view(np.int64) % self.shards
         prints, first, second = Cuckoo.places(low, self.buckets[shard])
         start = self.start[shard]
         found = np.zeros(len(low), dtype=bool)
@@ -237,8 +237,7 @@ class LineIndex:
                 }
             )
 
-        # Shards count digests as unsigned numbers, as the filters do.
-        shard = F.expr(f"cast(pmod(cast(high as decimal(20)) + if(high < 0, {1 << 64}BD, 0BD), {self.shards}) as int)")
+        shard = F.pmod("high", F.lit(self.shards)).cast("int")
         self.filters = stored(
             dropped.select(shard.alias("shard"), "low", "n", "old")
             .groupBy("shard")
