@@ -1,9 +1,10 @@
 import hashlib
+import random
 
 import pytest
 
 from tierlake.llm import suffix_family
-from tierlake.llm.suffix_family import SuffixFamily, drop_substrings, keyed
+from tierlake.llm.suffix_family import SuffixFamily, drop_substrings, in_batches, keyed
 
 
 def expected(rows, length):
@@ -42,14 +43,33 @@ def test_matches_brute_force(docs, want, batches):
     assert found(drop_substrings(docs, batches=batches)) == want
 
 
-def test_contexts_compared_by_spark(docs, want, monkeypatch):
-    monkeypatch.setattr(suffix_family, "GROUP", 1)
+@pytest.mark.parametrize("contexts", [1, 3])
+def test_contexts_in_slices(docs, want, monkeypatch, contexts):
+    monkeypatch.setattr(suffix_family, "SLICE_CONTEXTS", contexts)
     assert found(drop_substrings(docs)) == want
 
 
+def test_windows_of_slices_follow_distinct_ones(spark, monkeypatch):
+    """Own words around one phrase: what slices send on is each distinct window once a slice."""
+    monkeypatch.setattr(suffix_family, "SLICE_CONTEXTS", 50)
+    rng = random.Random(8)
+    phrase = " ".join(f"common{k}" for k in range(40))
+    own = lambda: " ".join(str(rng.random()) for _ in range(6))
+    some = [(k, f"{own()} {phrase} {own()}") for k in range(400)]
+    table = spark.createDataFrame(some, "doc_id long, text string").repartition(4)
+    assert found(drop_substrings(table)) == expected(some, 100)
+
+
+def test_batches_of_any_ids(spark):
+    for ids in (range(90), [f"d{k:02}" for k in range(90)], [k / 7 for k in range(90)]):
+        rows = spark.createDataFrame([(k, "") for k in ids]).toDF("doc_id", "text")
+        parts = [sorted(r.doc_id for r in part.collect()) for part in in_batches(rows, 3)]
+        assert sum(parts, []) == sorted(ids) and [len(p) > 15 for p in parts] == [True] * 3
+
+
 def test_shuffled_instead_of_sent(docs, want, monkeypatch):
-    monkeypatch.setattr(suffix_family, "BROADCAST_CONTEXTS", 0)
-    monkeypatch.setattr(suffix_family, "BROADCAST_DOCS", 0)
+    monkeypatch.setattr(suffix_family, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(suffix_family, "BROADCAST_ANCHORS", 0)
     assert found(drop_substrings(docs)) == want
 
 

@@ -45,6 +45,35 @@ def op2_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+# Every window of 100 bytes, as hexadecimal digits, with all others.
+ORACLE_SQL["op2_suffix_family"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 99)) AS i FROM d)),
+later AS (
+  SELECT doc_id, i
+  FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS place FROM win)
+  WHERE place > 1),
+marked AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > 100, true) AS new
+  FROM later),
+numbered AS (
+  SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+span AS (
+  SELECT doc_id, min(i) AS b, max(i) + 100 AS e FROM numbered GROUP BY doc_id, run),
+edge AS (
+  SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS was FROM span
+  UNION ALL
+  SELECT d.doc_id, len(h) // 2, NULL, coalesce(max(e), 0)
+  FROM d LEFT JOIN span USING (doc_id) GROUP BY d.doc_id, h)
+SELECT doc_id, any_value(len(h) // 2) AS n_bytes,
+       CAST(coalesce(sum(e - b), 0) AS BIGINT) AS n_removed, count(e) AS n_spans,
+       sha256(unhex(string_agg(substr(h, 2 * was + 1, 2 * (b - was)), '' ORDER BY b))) AS kept_sha256
+FROM edge JOIN d USING (doc_id) GROUP BY doc_id
+"""
+
+
 @query
 def op3_text_to_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))

@@ -48,3 +48,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     Counting stops after ``max_rows + 1`` rows; beyond that the join shuffles.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def broadcast_if_light(df: DataFrame, size: Column, max_bytes: int) -> DataFrame:
+    """``df``, a stored table, marked for broadcast when ``size`` sums to at most ``max_bytes``."""
+    total = df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= max_bytes else df

@@ -13,7 +13,9 @@ stands for. Equal strings are neighbours in this order as they are in the
 alphabetic one, at an eighth of its bytes. Two suffixes that agree in both
 stand for the same windows, so the later one is a repetition as a whole. Where
 only the anchor agrees, a match begins or ends in between; the bytes of those
-contexts are fetched and compared window by window.
+contexts are fetched and compared window by window: the contexts of an anchor
+in slices of ``SLICE_CONTEXTS``, and of anchors with more than one slice then
+the distinct windows of the slices, each by its first place there.
 
 Within one slice of a task's documents a repetition is known at once. It is not sorted with its
 first occurrence, so a passage in a third of all documents is a few rows a task.
@@ -30,18 +32,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.anchors import CHUNK, PLACE_BITS, K, Prints, anchor_runs, mixed
-from tierlake.llm.common import stored, texts
+from tierlake.llm.common import broadcast_if_light, broadcast_if_small, stored, texts
 from tierlake.session import scratch
 
 LENGTH = 100
 BATCHES = 3
-#: Contexts of one anchor that one task compares; more are compared by Spark.
-GROUP = 2048
+#: Contexts of one anchor that are compared at once.
+SLICE_CONTEXTS = 2048
 #: Contexts a task compares at a time, over many anchors.
 BUCKET = 5_000
-#: Contexts, and documents with spans, sent to every task instead of shuffling texts.
-BROADCAST_CONTEXTS = 2_000_000
-BROADCAST_DOCS = 500_000
+#: Bytes of contexts' places, or of documents' spans, sent to every task instead of shuffling texts.
+BROADCAST_BYTES = 64 << 20
+#: Anchors with more than one slice that are sent to every task.
+BROADCAST_ANCHORS = 100_000
 #: Bytes of texts whose suffixes a task holds at a time, or one longer text.
 SLICE = 8 << 20
 SEGMENT = 1 << (PLACE_BITS - 2)
@@ -183,7 +186,7 @@ class SuffixFamily:
 
     def _compared(self, docs: DataFrame) -> list[DataFrame]:
         """Spans inside contexts that share their anchor but not all bytes."""
-        length, group = self.length, GROUP
+        length = self.length
         kind = docs.schema["doc_id"].dataType.simpleString()
         cut = self.partial[0]
         for more in self.partial[1:]:
@@ -192,91 +195,96 @@ class SuffixFamily:
         total = cut.count()
         if not total:
             return []
-        sizes = cut.groupBy("fp").agg((F.count(F.lit(1)) > group).alias("hot"))
-        of_doc = (
-            cut.join(sizes, "fp")
-            .groupBy(F.col("doc_id").alias("in_id"), F.col("copy").alias("in_copy"))
-            .agg(
-                *[F.collect_list(c).alias(c) for c in ("start", "windows", "fp", "hot")]
-            )
-        )
-        of_doc = stored(of_doc, self.folder)
-        if total <= BROADCAST_CONTEXTS:
-            of_doc = F.broadcast(of_doc)
+        slices = F.ceil(F.count(F.lit(1)) / SLICE_CONTEXTS).cast("int").alias("slices")
+        many = stored(cut.groupBy("fp").agg(slices).where("slices > 1"), self.folder)
+        place = F.xxhash64("doc_id", "copy", "start")
+        part = F.coalesce(F.pmod(place, "slices"), F.lit(0)).cast("int")
+        dealt = cut.join(broadcast_if_small(many, BROADCAST_ANCHORS), "fp", "left").select(
+            "doc_id", "copy", "start", "windows", "fp",
+            F.col("slices").isNotNull().alias("many"), part.alias("part"),
+        )
+        held = ("start", "windows", "fp", "many", "part")
+        of_doc = dealt.groupBy(F.col("doc_id").alias("in_id"), F.col("copy").alias("in_copy"))
+        of_doc = stored(of_doc.agg(*[F.collect_list(c).alias(c) for c in held]), self.folder)
+        of_doc = broadcast_if_light(of_doc, F.size("start") * 21 + 32, BROADCAST_BYTES)
         same = F.col("doc_id").eqNullSafe(F.col("in_id")) & (F.col("copy") == F.col("in_copy"))
-        held = docs.join(of_doc, same).drop("in_id", "in_copy")
+        texts_of = docs.join(of_doc, same).drop("in_id", "in_copy")
 
         def contexts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            columns = ["hot", "fp", "doc_id", "copy", "start", "windows", "bytes"]
+            columns = ["many", "part", "fp", "doc_id", "copy", "start", "windows", "bytes"]
             for frame in frames:
                 out = []
                 for row in frame.itertuples(index=False):
                     raw = (row.text or "").encode()
-                    for start, windows, fp, hot in zip(
-                        row.start, row.windows, row.fp, row.hot, strict=True
+                    for start, windows, fp, many, part in zip(
+                        row.start, row.windows, row.fp, row.many, row.part, strict=True
                     ):
-                        part = raw[start : start + windows + length - 1]
-                        out.append((bool(hot), fp, row.doc_id, row.copy, start, windows, part))
+                        found = raw[start : start + windows + length - 1]
+                        out.append(
+                            (bool(many), part, fp, row.doc_id, row.copy, start, windows, found)
+                        )
                 yield pd.DataFrame(out, columns=columns)
 
-        fetched = stored(
-            held.mapInPandas(
-                contexts,
-                f"hot boolean, fp long, doc_id {kind}, copy long, start int, windows int, bytes binary",
-            ),
-            self.folder,
-        )
-        schema = f"doc_id {kind}, copy long, begin int, end int"
+        schema = f"doc_id {kind}, copy long, begin int, end int, h1 long, h2 long"
 
         def compare(frame: pd.DataFrame) -> pd.DataFrame:
-            """Many anchors' contexts: mark windows that an earlier context has."""
+            """Many slices' contexts: spans of windows that an earlier context has.
+
+            Of anchors with other slices also each distinct window, with its
+            first place and its fingerprints ``h1, h2``.
+            """
             frame = frame.sort_values(
                 ["doc_id", "copy", "start"], na_position="first", ignore_index=True
             )
             which, at, prints = windows_of(frame, length, 3)
             fp = frame["fp"].to_numpy()[which].view(np.uint64)
             key = mixed(prints ^ mixed(fp))
-            seen = pd.Series(key).duplicated().to_numpy()
-            return runs_of(frame, which[seen], at[seen], length)
+            # The same anchor's other slices are not to be seen here.
+            slice_ = frame["part"].to_numpy(dtype=np.int64)[which].view(np.uint64)
+            seen = pd.Series(mixed(key + slice_)).duplicated().to_numpy()
+            spans = runs_of(frame, which[seen], at[seen], length)
+            first = np.flatnonzero(frame["many"].to_numpy(dtype=bool)[which] & ~seen)
+            if not len(first):
+                return spans.assign(h1=pd.NA, h2=pd.NA).astype({"h1": "Int64", "h2": "Int64"})
+            two = windows_of(frame, length, 4)[2]
+            row = which[first]
+            windows = pd.DataFrame(
+                {
+                    "doc_id": frame["doc_id"].to_numpy()[row],
+                    "copy": frame["copy"].to_numpy()[row],
+                    "begin": at[first].astype(np.int32),
+                    "end": (at[first] + length).astype(np.int32),
+                    "h1": key[first].view(np.int64),
+                    "h2": two[first].view(np.int64),
+                }
+            )
+            spans = spans.assign(h1=pd.NA, h2=pd.NA)
+            both = pd.concat([spans, windows], ignore_index=True) if len(spans) else windows
+            return both.astype({"h1": "Int64", "h2": "Int64"})
 
         buckets = -(-total // BUCKET)
-        cold = (
-            fetched.where(~F.col("hot"))
-            .withColumn("bucket", F.pmod(F.xxhash64("fp"), F.lit(buckets)))
+        compared = (
+            texts_of.mapInPandas(
+                contexts,
+                f"many boolean, part int, fp long, doc_id {kind}, copy long, start int, windows int, "
+                "bytes binary",
+            )
+            .withColumn("bucket", F.pmod(F.xxhash64("fp", "part"), F.lit(buckets)))
             .groupBy("bucket")
             .applyInPandas(compare, schema)
         )
-
-        def exploded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                which, at, one = windows_of(frame, length, 3)
-                two = windows_of(frame, length, 4)[2]
-                yield pd.DataFrame(
-                    {
-                        "h1": one.view(np.int64),
-                        "h2": two.view(np.int64),
-                        "doc_id": frame["doc_id"].to_numpy()[which],
-                        "copy": frame["copy"].to_numpy()[which],
-                        "at": at.astype(np.int32),
-                    }
-                )
-
-        windows = stored(
-            fetched.where("hot").mapInPandas(
-                exploded, f"h1 long, h2 long, doc_id {kind}, copy long, at int"
-            ),
-            self.folder,
-        )
+        compared = stored(compared, self.folder)
+        spans = compared.where("h1 IS NULL").select("doc_id", "copy", "begin", "end")
+        if many.isEmpty():
+            return [spans]
+        windows = compared.where("h1 IS NOT NULL")
+        place = F.struct("doc_id", "copy", "begin")
         firsts = windows.groupBy("h1", "h2").agg(
-            F.min(F.struct("doc_id", "copy", "at")).alias("first")
+            F.min(place).alias("first"), F.count(F.lit(1)).alias("n")
         )
-        later = windows.join(firsts, ["h1", "h2"]).where(
-            ~F.struct("doc_id", "copy", "at").eqNullSafe(F.col("first"))
-        )
-        hot = later.select(
-            "doc_id", "copy", F.col("at").alias("begin"), (F.col("at") + length).alias("end")
-        )
-        return [cold, hot]
+        firsts = firsts.where("n > 1").drop("n")
+        later = windows.join(firsts, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+        return [spans, later.select("doc_id", "copy", "begin", "end")]
 
 
 def sliced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -361,20 +369,27 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def in_batches(rows: DataFrame, batches: int) -> list[DataFrame]:
-    """Consecutive runs of documents of about equal number; one for ids that aren't numbers."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    if batches < 2 or kind not in ("int", "bigint", "smallint", "tinyint"):
+    """Consecutive runs of documents of about equal number, for ids of any type with an order."""
+    if batches < 2:
         return [rows]
-    shares = [k / batches for k in range(1, batches)]
-    cuts = rows.agg(F.percentile_approx("doc_id", shares)).first()[0]
-    cuts = sorted(set(cuts or []))
+    # The ids alone, dealt out by range: a few rows say where the ranges end.
+    ids = rows.select("doc_id").where("doc_id is not null")
+    ranges = ids.repartitionByRange(8 * batches, "doc_id").groupBy(F.spark_partition_id()).agg(
+        F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+    ranges = sorted((row.last, row.n) for row in ranges.collect())
+    cuts, seen, total = [], 0, sum(n for _, n in ranges)
+    for last, n in ranges[:-1]:
+        seen += n
+        if seen * batches >= total * (len(cuts) + 1) and len(cuts) + 1 < batches:
+            cuts.append(last)
     low, parts = None, []
     for cut in [*cuts, None]:
         part = F.lit(True)
         if low is not None:
-            part &= F.col("doc_id") > low
+            part &= F.col("doc_id") > F.lit(low)
         if cut is not None:
-            part &= F.col("doc_id") <= cut
+            part &= F.col("doc_id") <= F.lit(cut)
         if low is None:
             part |= F.col("doc_id").isNull()
         parts.append(rows.where(part))
@@ -421,8 +436,7 @@ def drop_substrings(
         ),
         family.folder,
     )
-    if of_doc.count() <= BROADCAST_DOCS:
-        of_doc = F.broadcast(of_doc)
+    of_doc = broadcast_if_light(of_doc, F.size("begins") * 8 + 32, BROADCAST_BYTES)
 
     def remove(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
