@@ -5,7 +5,7 @@ import pytest
 # Names that the operators use inside; a table may have them, too.
 CLASHING = (
     "norm digest keep_id row key fp n size place part component rep copy start windows count "
-    "member id curve band label score"
+    "member id curve band label score __doc_id __id __sha row_key kept_key kept_id kept_sha many"
 ).split()
 
 

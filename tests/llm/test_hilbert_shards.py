@@ -1,10 +1,12 @@
 import itertools
+import math
+import random
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierlake.llm.hilbert_shards import hilbert_index, hilbert_shards
+from tierlake.llm.hilbert_shards import cell, hilbert_index, hilbert_shards, text_cuts
 
 
 @pytest.mark.parametrize("dims, bits", [(2, 1), (2, 4), (3, 2), (4, 1)])
@@ -64,3 +66,27 @@ def test_pruning(spark):
 def test_plan_runs_no_python(docs):
     plan = hilbert_shards(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_texts_are_cut_at_shares_of_rows_by_whole_values(spark):
+    """Sources that begin alike fall into cells of their own, where brute force puts them."""
+    rng = random.Random(4)
+    names = [f"https://host{k:02}.example/very/long" for k in range(40)] + ["", "é", None]
+    values = [names[min(int(rng.expovariate(0.1)), 42)] for _ in range(3_000)]
+    df = spark.createDataFrame([(v,) for v in values], "s string").repartition(5)
+    shares = [k / 16 for k in range(1, 16)]
+    known = sorted(v.encode() for v in values if v is not None)
+    want = [known[math.ceil(len(known) * share) - 1].decode() for share in shares]
+    cuts = text_cuts(df, "s", shares)
+    assert cuts == want and len(set(cuts)) > 8
+    cells = {r.s: r.c for r in df.select("s", cell(df.s, cuts).alias("c")).distinct().collect()}
+    for value, found in cells.items():
+        assert found == sum(value is not None and value.encode() >= c.encode() for c in want)
+    assert text_cuts(df.where("s IS NULL"), "s", shares) == []
+
+
+def test_sources_with_one_beginning_are_pruned(spark):
+    rows = [(k, "x" * (k % 50), "en", f"https://{k % 16:02}.example", 1) for k in range(1_600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = hilbert_shards(table).join(table, "doc_id").groupBy("shard").agg(F.countDistinct("source").alias("n"))
+    assert max(r.n for r in found.collect()) < 12

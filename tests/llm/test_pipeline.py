@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import test_exact_dedup, test_jaccard_join, test_mixing, test_packing
@@ -85,3 +86,36 @@ def test_stages_over_awkward_tables(spark, docs, twice, nothing, sf_dir, stage):
     nulls = spark.createDataFrame([(None, None, None, None, None)] * 2, SCHEMA)
     left = run(spark, nulls, sf_dir).count()
     assert left == {0: left, 1: 1, 2: 2, 3: 0, 4: 2}[stage]
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, sf_dir):
+    """Every second row takes the id of the row before it; decisions stay those of the rows."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text IS NOT NULL")
+    names = "__doc_id", "__id", "__sha", "row_key", "kept_key", "kept_sha", "taken_key"
+    extra = [F.lit(k).alias(name) for k, name in enumerate(names)]
+    plain = docs.select(*COLUMNS, *extra).cache()
+    # Labels are by id: without them every row would be scored by another machine.
+    shared = plain.withColumn("doc_id", F.floor(F.col("doc_id") / 2).cast("long"))
+
+    def texts_of(df):
+        return sorted((r.text, r.lang, r.source) for r in df.collect())
+
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        alone, both = stage(spark, plain, sf_dir), stage(spark, shared, sf_dir)
+        assert both.columns == shared.columns, name
+        # Of copies another one may stay, since ids say which.
+        assert len(texts_of(both)) == len(texts_of(alone)) < plain.count()
+    mixed = corpus_pipeline.mix(spark, shared, sf_dir)
+    assert mixed.columns == shared.columns and mixed.count() > 0
+    scored = corpus_pipeline.quality(spark, shared, sf_dir)
+    assert scored.columns == shared.columns and 0 < scored.count() < shared.count()
+
+
+def test_near_copies_under_one_id(spark, sf_dir):
+    words = [f"w{k}" for k in range(60)]
+    one, two = " ".join(words), " ".join([*words[:-1], "other"])
+    rows = [(1, one, "en", "s", 1), (1, two, "en", "s", 1), (1, "another text", "en", "s", 1)]
+    table = spark.createDataFrame([*rows, (None, one, "en", "s", 1)], SCHEMA)
+    left = corpus_pipeline.near(spark, table, sf_dir).collect()
+    assert sorted(r.text == "another text" for r in left) == [False, True]
+    assert all(r.doc_id == 1 for r in left)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,35 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+#: Rows that a Python worker gets at a time in stored steps: of texts of 1 MB, 500 MB.
+FRAME_ROWS = 500
+_FRAME_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Shuffle files go when the query that made them ends, not when the driver collects its garbage.
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def small_frames(spark: SparkSession, rows: int = FRAME_ROWS) -> Iterator[None]:
+    """Jobs that start in the block send Python at most ``rows`` rows at a time, and clean up."""
+    before = {name: spark.conf.get(name) for name in (_FRAME_SETTING, _CLEANUP_SETTING)}
+    most = int(before[_FRAME_SETTING])
+    spark.conf.set(_FRAME_SETTING, str(min(rows, most) if most > 0 else rows))
+    spark.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
@@ -38,7 +69,8 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder or scratch(spark)}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_frames(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

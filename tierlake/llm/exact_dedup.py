@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.llm.common import ascii_lower, broadcast_if_small, stored, texts
+from tierlake.llm.common import ascii_lower, broadcast_if_small, free_name, stored, texts
 from tierlake.session import scratch
 
 STATE = "spark.sql.streaming.stateStore"
@@ -31,6 +31,9 @@ STATE_SETTINGS = {
     # Small write buffers: each partition's first block of one is an eighth of it,
     # outside the heap. Partitions of a finished run are let go soon.
     f"{STATE}.rocksdb.writeBufferSizeMB": "4",
+    # All partitions of an executor share one bounded cache, write buffers included.
+    f"{STATE}.rocksdb.boundedMemoryUsage": "true",
+    f"{STATE}.rocksdb.maxMemoryUsageMB": "96",
     f"{STATE}.maintenanceInterval": "10s",
 }
 #: Members of groups that are sent to every task instead of shuffling all texts.
@@ -204,16 +207,17 @@ def unequal_hits(
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names."""
     found = exact_duplicates(docs, id_col, text_col)
+    own_id, own_sha = free_name(docs, "kept_id"), free_name(docs, "kept_sha")
     kept = found.where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")
+        F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha)
     )
     repeated = found.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id"))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(own_id))
     if not repeated:
-        return docs.join(broadcast_if_small(kept.drop("__sha"), BROADCAST_ROWS), same, "left_semi")
+        return docs.join(broadcast_if_small(kept.drop(own_sha), BROADCAST_ROWS), same, "left_semi")
     # Rows share ids: their texts tell them apart, and of equal rows one stays.
     sha = F.sha2(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    rows = docs.join(kept, same & (sha == F.col("__sha")), "left_semi")
-    return rows.withColumn("__sha", sha).dropDuplicates([id_col, "__sha"]).drop("__sha")
+    rows = docs.join(kept, same & (sha == F.col(own_sha)), "left_semi")
+    return rows.withColumn(own_sha, sha).dropDuplicates([id_col, own_sha]).drop(own_sha)

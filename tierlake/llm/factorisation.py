@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import small_frames, stored
+
 SLOTS = 1 << 14
 RANK = 8
 MAX_TRAIN = 8_000
@@ -216,12 +218,13 @@ def score_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    row_col: str | None = None,
 ) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row.
+    """``doc_id, held_out, score, predicted`` of every row, and ``row_col`` as ``row`` if given.
 
     ``labels`` has the id and ``label_col``; null labels and the held-out fold
     teach nothing. At most ``max_train`` labelled ids, the first in the order of
-    a hash, are fitted on. The score uses the text and ``meta_cols`` only. A
+    a hash, are fitted on, and at most as many rows if those ids are repeated. The score uses the text and ``meta_cols`` only. A
     null text is an empty one, which is scored by its structure; null metadata
     is a value of its own. Repeated rows are scored each; an empty table gives
     an empty result.
@@ -232,7 +235,9 @@ def score_quality(
         F.col(f"`{id_col}`").alias("doc_id"),
         F.col(f"`{text_col}`").alias("text"),
         *[F.col(f"`{c}`").alias(n) for c, n in zip(meta_cols, names, strict=True)],
+        F.col(f"`{row_col or id_col}`").alias("row"),
     )
+    row_kind = rows.schema["row"].dataType.simpleString()
 
     def of(frame: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
         metas = zip(*[frame[n] for n in names], strict=True) if names else [()] * len(frame)
@@ -261,10 +266,10 @@ def score_quality(
         rows.join(F.broadcast(taught), F.col("doc_id") == F.col("label_id"))
         .drop("label_id")
         .mapInPandas(packed, f"doc_id {kind}, label double, at binary, x binary")
-        .toPandas()
     )
-    # The order of arrival must not matter.
-    sample = sample.sort_values(["doc_id", "label", "x"], kind="stable").head(max_train)
+    # The order of arrival must not matter; nor may ids that are repeated bring more rows here.
+    with small_frames(docs.sparkSession):
+        sample = sample.orderBy("doc_id", "label", "x", "at").limit(max_train).toPandas()
     made = [
         (np.frombuffer(at, dtype=np.int32), np.frombuffer(x, dtype=np.float32))
         for at, x in zip(sample["at"], sample["x"], strict=True)
@@ -279,15 +284,18 @@ def score_quality(
             ]
             yield pd.DataFrame(
                 {
+                    "row": frame["row"],
                     "doc_id": frame["doc_id"],
                     "score": np.concatenate(scores) if scores else np.zeros(0),
                 }
             )
 
-    found = rows.mapInPandas(scored, f"doc_id {kind}, score double")
+    found = stored(rows.mapInPandas(scored, f"row {row_kind}, doc_id {kind}, score double"))
+    sent.destroy()
     return found.select(
         "doc_id",
         in_fold(F.col("doc_id")).alias("held_out"),
         "score",
         (F.col("score") >= ACCEPT).cast("int").alias("predicted"),
+        *(["row"] if row_col else []),
     )

@@ -22,21 +22,53 @@ from tierlake.llm.common import stored
 BITS = 4
 #: ``monotonically_increasing_id`` has the partition above these bits, the row below.
 ROW_BITS = 33
-#: Leading bytes of a text that place it among others.
-TEXT_BYTES = 6
 
 
-def surrogate(column: Column, kind: T.DataType) -> Column:
-    """A number in the order of the column; for texts from their first bytes. Null: below all."""
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, TEXT_BYTES)), 12, "0")
-        column = F.conv(head, 16, 10)
-    return F.coalesce(column.cast("double"), F.lit(-1.0))
+def cell(value: Column, cuts: list) -> Column:
+    """How many of the ascending ``cuts`` are at or below ``value``; of null, none."""
+    below = (F.coalesce(value >= F.lit(c), F.lit(False)).cast("int") for c in cuts)
+    return sum(below, F.lit(0))
 
 
-def cell(value: Column, cuts: list[float]) -> Column:
-    """How many of the ascending ``cuts`` are at or below ``value``."""
-    return sum(((value >= float(c)).cast("int") for c in cuts), F.lit(0))
+def number_cuts(df: DataFrame, dims: list[str], shares: list[float]) -> list[list[float]]:
+    """Approximate quantiles of numeric dimensions over all rows; a null lies below all."""
+    if not dims:
+        return []
+    values = [F.coalesce(F.col(f"`{d}`").cast("double"), F.lit(-1.0)) for d in dims]
+    found = df.agg(
+        *[F.percentile_approx(v, shares, 10_000).alias(f"c{k}") for k, v in enumerate(values)]
+    ).first()
+    return [found[k] or [] for k in range(len(dims))]
+
+
+def text_cuts(df: DataFrame, dim: str, shares: list[float]) -> list[str]:
+    """Quantiles of a text dimension over all rows, by whole values.
+
+    The distinct values, each with its rows, are dealt out by range; running
+    counts within the ranges and over them (one row each) say where a share of
+    all rows is reached.
+    """
+    value = F.col(f"`{dim}`")
+    counts = df.select(value.alias("value")).where("value is not null").groupBy("value").count()
+    tasks = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    counts = counts.repartitionByRange(int(tasks), "value")
+    counts = stored(counts.withColumn("part", F.spark_partition_id()))
+    before, offsets = 0, []
+    for part, n in sorted(tuple(r) for r in counts.groupBy("part").agg(F.sum("count")).collect()):
+        offsets.append((part, before))
+        before += n
+    if not offsets:
+        return []
+    offsets = df.sparkSession.createDataFrame(offsets, "part int, before long")
+    inside = Window.partitionBy("part").orderBy("value")
+    reached = counts.join(F.broadcast(offsets), "part").withColumn(
+        "reached", F.sum("count").over(inside) + F.col("before")
+    )
+    firsts = [
+        F.min(F.when(F.col("reached") >= share * before, F.col("value"))).alias(f"c{k}")
+        for k, share in enumerate(shares)
+    ]
+    return list(reached.agg(*firsts).first())
 
 
 def gray_tables(dims: int) -> tuple[list[int], list[int], list[int]]:
@@ -103,20 +135,21 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
 def curve(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """``df`` with ``curve``: the Hilbert index of its quantised ``dims``.
 
-    Cuts are approximate quantiles over all rows: one row with ``2 ** bits - 1``
-    numbers a dimension is what the driver sees. The index is worked out once for
-    each occupied cell, of which there are at most ``2 ** (bits * dims)``, and
-    joined; only up to 65,536 of them are marked for broadcast.
+    Cuts are quantiles over all rows, of texts by their whole values: one row
+    with ``2 ** bits - 1`` cuts a dimension is what the driver sees. The index is
+    worked out once for each occupied cell, of which there are at most
+    ``2 ** (bits * dims)``, and joined; only up to 65,536 of them are marked for
+    broadcast.
     """
-    numbers = {d: surrogate(F.col(f"`{d}`"), df.schema[d].dataType) for d in dims}
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    found = df.agg(
-        *[F.percentile_approx(n, shares, 10_000).alias(f"c{k}") for k, n in enumerate(numbers.values())]
-    ).first()
+    plain = [d for d in dims if not isinstance(df.schema[d].dataType, T.StringType)]
+    cuts = dict(zip(plain, number_cuts(df, plain, shares), strict=True))
+    values = {d: F.coalesce(F.col(f"`{d}`").cast("double"), F.lit(-1.0)) for d in plain}
+    for d in dims:
+        if d not in cuts:
+            cuts[d], values[d] = text_cuts(df, d, shares), F.col(f"`{d}`")
     names = [f"cell_{k}" for k in range(len(dims))]
-    celled = df.select(
-        "*", *[cell(n, found[k] or []).alias(names[k]) for k, n in enumerate(numbers.values())]
-    )
+    celled = df.select("*", *[cell(values[d], cuts[d]).alias(names[k]) for k, d in enumerate(dims)])
     along = celled.select(*names).distinct()
     along = along.withColumn("curve", hilbert_index([F.col(n) for n in names], bits))
     if bits * len(dims) <= 16:

@@ -47,7 +47,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import broadcast_if_small, stored, texts
+from tierlake.llm.anchors import mixed
+from tierlake.llm.common import broadcast_if_small, small_frames, stored, texts
 from tierlake.llm.components import components
 from tierlake.session import scratch
 
@@ -57,7 +58,8 @@ SKETCH_BITS = 22
 BLOCK_BITS = 16
 #: A token is frequent above this estimate, or well above the mean counter.
 FREQUENT = 64
-CACHE = 200_000
+#: Words whose hashes a worker keeps.
+CACHE = 60_000
 #: Rounds of comparing with one member of each group before pairs are formed, at most.
 STARS = 4
 #: 64-bit words of a set's bitmap.
@@ -65,16 +67,7 @@ BITMAP = 8
 #: Candidate ids that are sent to every task instead of shuffling all texts.
 BROADCAST_ROWS = 500_000
 
-MIX1, MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-S33, S29 = np.uint64(33), np.uint64(29)
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Spread 64-bit values evenly (a published finaliser)."""
-    x = (x ^ (x >> S33)) * MIX1
-    x = (x ^ (x >> S33)) * MIX2
-    return x ^ (x >> S33)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -213,13 +206,15 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
     parts = rows.select("text").mapInPandas(count, schema)
     parts = parts.groupBy("block", "part").applyInPandas(summed, schema)
     sketch = np.zeros(size, dtype="<u4")
-    for row in parts.groupBy("block").applyInPandas(summed, schema).collect():
+    with small_frames(rows.sparkSession):
+        blocks = parts.groupBy("block").applyInPandas(summed, schema).collect()
+    for row in blocks:
         add(sketch[row.block * block : (row.block + 1) * block], row.kind, row.at, row.n)
     return sketch, float(sketch.mean())
 
 
-def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, n_shingles, s1, s2, bits, keys, rooms`` of each row.
+def signatures(rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+    """``doc_id, n_shingles, s1, s2, bits, keys, rooms`` of each row, stored.
 
     Equal sets have equal ``n_shingles, s1, s2``.
     """
@@ -253,11 +248,14 @@ def signatures(rows: DataFrame, width: int, percent: int) -> DataFrame:
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(
+    signed = rows.mapInPandas(
         sign,
         f"doc_id {kind}, n_shingles long, s1 long, s2 long, bits array<long>, "
         "keys array<long>, rooms array<int>",
     )
+    signed = stored(signed, folder)
+    sent.destroy()
+    return signed
 
 
 def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
@@ -334,7 +332,7 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """``jaccard_components`` of ``doc_id, text`` rows with different ids."""
     spark = rows.sparkSession
     folder = scratch(spark)
-    signed = stored(signatures(rows, width, percent), folder)
+    signed = signatures(rows, width, percent, folder)
     able = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     same = "n_shingles", "s1", "s2"
     classes = stored(able.groupBy(*same).agg(F.min("doc_id").alias("rep")), folder)
