@@ -12,24 +12,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.llm import exact_dedup, factorisation, jaccard_join, mixing, packing
-from tierlake.llm.common import broadcast_if_small, stored, table
+from tierlake.llm.common import broadcast_if_small, free_name, stored, table
 
-#: Ids sent to every task instead of shuffling the documents.
+#: Row keys sent to every task instead of shuffling the documents.
 BROADCAST_IDS = 500_000
-#: A column beside those of ``docs``, whatever their names.
-OWN = "__doc_id"
 
 
-def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in ``ids``; null is an id, too."""
-    ids = broadcast_if_small(stored(ids.select(F.col("doc_id").alias(OWN))), BROADCAST_IDS)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(OWN)), "left_semi")
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column that tells every row apart, and its name.
+
+    That is ``doc_id``, or a number of a new name where ids are repeated or null.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.where("n > 1 OR doc_id IS NULL").limit(1).count() == 0:
+        return docs, "doc_id"
+    key = free_name(docs, "row_key")
+    return stored(docs.withColumn(key, F.monotonically_increasing_id())), key
+
+
+def only(docs: DataFrame, key: str, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the rows of ``docs`` whose ``key`` is in the one column of ``keys``."""
+    own = free_name(docs, "kept_key")
+    keys = broadcast_if_small(stored(keys.toDF(own)), BROADCAST_IDS)
+    kept = docs.join(keys, F.col(f"`{key}`") == F.col(own), "left_semi")
+    return kept.select(*(F.col(f"`{c}`") for c in columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorisation machine accepts; rows of one id stand or fall by each score."""
-    scores = factorisation.score_quality(docs, table(spark, sf_dir, "labels"))
-    return rows_of(docs, scores.where("predicted = 1"))
+    """Documents that the factorisation machine accepts, row by row."""
+    rows, key = keyed(docs)
+    scores = factorisation.score_quality(rows, table(spark, sf_dir, "labels"), row_col=key)
+    return only(rows, key, scores.where("predicted = 1").select("row"), docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +51,18 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar texts, the one with the smallest id."""
-    found = jaccard_join.jaccard_components(docs)
-    first = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    return rows_of(docs, found.where(first))
+    """One document of each component of similar texts, the one with the smallest id; null is the largest."""
+    rows, key = keyed(docs)
+    found = jaccard_join.jaccard_components(rows, id_col=key)
+    if key == "doc_id":
+        first = found.where("component_id = doc_id").select("doc_id")
+    else:
+        ids = rows.select(F.col(f"`{key}`").alias("row"), F.col("doc_id").alias("id"))
+        placed = found.join(ids, found["doc_id"] == ids["row"])
+        place = F.struct(F.col("id").isNull(), "id", "row")
+        first = placed.groupBy("component_id").agg(F.min_by("row", place).alias("row"))
+        first = first.select("row")
+    return only(rows, key, first, docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,15 +72,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     more if that part is at least half of it. Documents without words are not
     in the mix.
     """
-    taken, _ = mixing.mix(docs)
-    times = taken.where("size > 0").select(
-        F.col("doc_id").alias(OWN), F.floor(F.col("taken") / F.col("size") + 0.5).alias("n")
-    )
-    # Rows that share an id are documents of their own; each takes their mean.
-    times = times.groupBy(OWN).agg(F.round(F.avg("n")).cast("int").alias("n")).where("n > 0")
-    turns = times.select(OWN, F.explode(F.sequence(F.lit(1), "n")))
-    turns = broadcast_if_small(stored(turns.select(OWN)), BROADCAST_IDS)
-    return docs.join(turns, F.col("doc_id").eqNullSafe(F.col(OWN))).drop(OWN)
+    rows, key = keyed(docs)
+    taken, _ = mixing.mix(rows, id_col=key)
+    own, turns = free_name(rows, "taken_key"), free_name(rows, "taken_times")
+    times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias(turns)
+    times = taken.where("size > 0").select(F.col("doc_id").alias(own), times)
+    times = stored(times.where(F.col(turns) > 0))
+    mixed = rows.join(broadcast_if_small(times, BROADCAST_IDS), F.col(f"`{key}`") == F.col(own))
+    each = F.explode(F.sequence(F.lit(1), F.col(turns)))
+    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns), each.alias(own)).drop(own)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
