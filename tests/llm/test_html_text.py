@@ -3,6 +3,8 @@ from html import unescape
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tierlake.llm.html_text import extract, main_text, smoothed
 
@@ -39,6 +41,64 @@ def test_blocks(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("broken", ["<![foo[x]]>", "<![ x", "<![", "<!", "<!>", "<!x y>", "<![if IE]>", "<!-", "<?", "</", "<![x", "<!ELEMENT a"])
+def test_unknown_declarations_end_at_their_bracket(broken):
+    text = main_text(f"<article><p>{LONG}</p>{broken}<p>{LONG} after</p></article>")
+    assert text.startswith(LONG)
+    assert main_text(broken) is not None and main_text(f"<p>x</p>{broken}").startswith("x")
+    if broken.endswith(">"):
+        assert text == f"{LONG}\n{LONG} after"
+
+
+PIECES = st.sampled_from(
+    ["<", ">", "!", "[", "]", "--", "<![", "<!", "<!--", "-->", "<?", "]]>", "<![CDATA[", "/", "=", "'", '"',
+     "<p>", "</p>", "<article>", "</article>", "<script>", "</script>", "<a href='x'>", "&amp;", "&#", "&#x110000;",
+     "<!DOCTYPE", "<div class=ad>", "<form>", "</form>", "<td", "<textarea>", "text ", "\0", "\ud7ff", " "]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PIECES | st.text(max_size=5), max_size=30))
+def test_no_markup_crashes(pieces):
+    assert isinstance(main_text("".join(pieces)), str)
+
+
+def test_broken_markup_in_a_job(spark):
+    rows = [(k, "u", html) for k, html in enumerate(["<![foo[x]]><p>a</p>", "<p>a</p><![ x", "<p>a</p>"])]
+    found = extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r.text for r in found.where("page_id <> 1").collect()} == {"a"} and found.count() == 3
+
+
+@pytest.mark.parametrize(
+    "part", ["section id='discussion'", "p class='skip'", "div id='related-work'", "blockquote class='share-quote'"]
+)
+def test_names_alone_take_nothing_from_an_article(part):
+    tag = part.split()[0]
+    page = f"<article><h1>T</h1><p>{LONG}</p><{part}>{LONG} The rest.</{tag}><p>{LONG}</p></article>"
+    assert main_text(page) == f"T\n{LONG}\n{LONG} The rest.\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<div class='share'><a href='/'>Share this</a> <a href='/x'>Print</a></div>",
+     "<div class='related'><ul><li><a href='/'>More of it</a><li><a href='/y'>And more</a></ul></div>",
+     "<div class='social'><b>Follow</b> <i>us</i></div>",
+     "<section class='comments'><p>" + LONG + "</p></section>",
+     "<div class='ad'><p>" + LONG + "</p></div>"],
+)
+def test_boxes_inside_an_article_go(part):
+    assert main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+
+
+def test_pages_in_one_form():
+    inner = f"<nav><a href='/'>no</a></nav><article><p>{LONG}</p><form>no <input></form></article>"
+    assert main_text(f"<body><form id='aspnet'>{inner}</form></body>") == LONG
+    body = f"<div><ul><li><a href='/'>Home</a></ul></div><div><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body><form>{body}</form></body>") == main_text(f"<body>{body}</body>")
+    login = f"<div><form>Name <input> Password <input></form></div><div><p>{LONG}</p><p>{LONG}</p></div>"
+    assert main_text(f"<body>{login}</body>") == f"{LONG}\n{LONG}"
+
+
 def test_unmarked_page():
     links = "".join(f"<li><a href='/{k}'>link {k}</a></li>" for k in range(20))
     page = (

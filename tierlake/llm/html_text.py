@@ -7,7 +7,9 @@ content. The ratio of text to tags of every line is smoothed with a Gaussian
 over its neighbours, and the lines at or above the standard deviation of the
 smoothed ratios are the content cluster. The *regions* the cluster lies in are
 the main text: marked ones (``article``, ``main``) if it reaches any, else the
-elements around its lines. Of a chosen region every line stays, short ones too.
+elements around its lines. Of a chosen region every line stays, short ones too, but for
+parts of a marked one whose name may mean a menu, a box or reader comments and
+whose ratios or links say the same.
 On a page without marks, all of the cluster stays that lies in the element
 around the chosen regions, so a short paragraph may have an element of its own.
 """
@@ -50,7 +52,7 @@ IMPLIED = {
 HOLDERS = frozenset("ul ol dl table menu select div section article main body".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search alert alertdialog dialog menu menubar "
-    "form status note".split()
+    "status note".split()
 )
 # Words of class and id values that mark what is not main text.
 NOISE = frozenset(
@@ -61,6 +63,12 @@ NOISE = frozenset(
     "pagination toolbar copyright disclaimer skip paywall toc".split()
 )
 COMMENTS = frozenset("comment comments disqus reply replies respond discussion".split())
+# Those of them that may as well name a part of an article.
+MAYBE = frozenset(
+    "promo promotion widget menu nav navigation notice notices notification alert popup modal overlay "
+    "share sharing social related recommended recommendations toolbar copyright disclaimer skip toc "
+    "subscription signup login reply replies respond discussion".split()
+)
 HEADERS = frozenset(["header"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -80,6 +88,10 @@ class Open:
     comments: bool
     region: int
     marked: int
+    #: In a form that is not part of a marked region.
+    form: bool = False
+    #: Number of the outermost part of a marked region that may be noise; 0 is none.
+    maybe: int = 0
 
 
 @dataclass(slots=True)
@@ -92,6 +104,8 @@ class Line:
     marked: int
     tag: str
     heading: bool
+    form: bool
+    maybe: int
 
 
 class Lines(HTMLParser):
@@ -107,6 +121,14 @@ class Lines(HTMLParser):
         self.tags = self.linked = self.links = 0
         self.at = self.stack[0]
         self.heading = False
+        self.parts_in_doubt = 0
+
+    def parse_html_declaration(self, i: int) -> int:
+        """Of ``<!...`` the parser knows comments, DOCTYPE and CDATA; all else ends at its ``>``."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self.rawdata.find(">", i) + 1 or len(self.rawdata)
 
     def end_line(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
@@ -114,7 +136,8 @@ class Lines(HTMLParser):
             at = self.at
             self.lines.append(
                 Line(
-                    text, self.tags, self.linked, at.noise, at.region, at.marked, at.tag, self.heading
+                    text, self.tags, self.linked, at.noise, at.region, at.marked, at.tag, self.heading,
+                    at.form, at.maybe,
                 )
             )
         self.parts.clear()
@@ -150,24 +173,32 @@ class Lines(HTMLParser):
         }
         hidden = "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true"
         hidden |= "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-        comments = above.comments or (bool(names & COMMENTS) and tag not in ("html", "body", "main"))
-        own = hidden or tag in NEVER or role in ROLES
-        if tag not in ("html", "body", "main"):
-            own |= bool(names & NOISE)
+        plain = tag not in ("html", "body", "main")
+        form = tag == "form" or role == "form"
+        own = hidden or tag in NEVER - {"form"} or role in ROLES or (form and above.marked > 0)
+        # In a marked region some names are not enough.
+        doubt = MAYBE if above.marked else frozenset()
+        comments = above.comments or (plain and bool(names & COMMENTS - doubt))
+        own |= plain and bool(names & NOISE - doubt)
+        maybe = above.maybe
+        if plain and not maybe and names & doubt:
+            self.parts_in_doubt += 1
+            maybe = self.parts_in_doubt
         if not above.marked:
             own |= tag == "header" or bool(names & HEADERS) and tag not in ("html", "body", "main", "article")
         article = tag == "article" or attrs.get("itemprop") == "articleBody"
         mark = 2 if article else 1 if tag == "main" or role == "main" else 0
+        form |= above.form
         if mark and not own and not comments:
-            # A wrapper named after a sidebar beside the article is no sidebar.
-            noise = any(o.tag in NEVER for o in self.stack)
+            # A wrapper named after a sidebar beside the article is no sidebar, a form around it none.
+            noise, form = any(o.tag in NEVER - {"form"} for o in self.stack), False
         else:
             noise = above.noise or own or comments
         region, marked = above.region, above.marked
         if mark or tag in ("div", "section", "body", "td") and not marked:
             self.around.append(region)
             region, marked = len(self.around) - 1, max(mark, marked)
-        return Open(tag, noise, comments, region, marked)
+        return Open(tag, noise, comments, region, marked, form, maybe)
 
     def close_implied(self, names: tuple[str, ...]) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -260,6 +291,36 @@ def container(around: list[int], chosen: set[int], able: list[int]) -> np.ndarra
     return inside
 
 
+def without_forms(lines: list[Line]) -> None:
+    """Text in forms is noise, unless forms wrap most of the page's text."""
+    able = [x for x in lines if not x.noise]
+    inside = sum(len(x.text) for x in able if x.form)
+    if 2 * inside <= sum(len(x.text) for x in able):
+        for line in able:
+            line.noise |= line.form
+
+
+def without_doubtful(lines: list[Line]) -> None:
+    """Parts whose names may mean noise are noise if they are mostly links or tags.
+
+    A part is tags if the smoothed ratio of none of its lines reaches the
+    threshold of the page.
+    """
+    parts: dict[int, list[int]] = {}
+    for k, line in enumerate(lines):
+        if line.maybe and not line.noise:
+            parts.setdefault(line.maybe, []).append(k)
+    if not parts:
+        return
+    score = smoothed(own := ratios(lines))
+    for places in parts.values():
+        held = [lines[k] for k in places]
+        links = sum(x.linked for x in held) >= LINKED * sum(len(x.text) for x in held)
+        if links or max(min(score[k], own[k]) for k in places) < score.std():
+            for line in held:
+                line.noise = True
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page, blocks joined by line feeds; empty if there is none."""
     parser = Lines()
@@ -267,6 +328,8 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.end_line()
     lines = parser.lines
+    without_forms(lines)
+    without_doubtful(lines)
     able = np.array([not x.noise for x in lines], dtype=bool)
     if not able.any():
         return ""
