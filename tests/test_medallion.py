@@ -12,6 +12,7 @@ from tierlake.__main__ import main
 from tierlake.config import azure_settings, load_job, setting
 from tierlake.operators.pages import PagesEnd, UnfinishedPages
 from tierlake.plans.medallion import row_counts
+from tierlake.sources.layers import list_files
 
 EXAMPLE = os.path.join(os.path.dirname(__file__), "..", "examples", "breweries.json")
 
@@ -186,3 +187,33 @@ def test_settings():
 def test_job_file_needs_its_variables(spark):
     with pytest.raises(KeyError, match="LAKE"):
         load_job(EXAMPLE, {"LAKE": ""})
+
+
+def test_layers_of_packed_files(spark, job):
+    pages = [json.dumps([{"id": f"{p}-{k}", "brewery_type": "micro"} for k in range(50)]) for p in range(60)]
+    rows = [(p, 200, body) for p, body in enumerate(pages)]
+    frame = spark.createDataFrame(rows, "page BIGINT, status INT, body STRING")
+    with_empty_flag(frame).repartition(30).write.option("maxRecordsPerFile", 1).parquet(job.pages)
+    job = Medallion(**{**vars(job), "file_bytes": 1 << 20, "max_records": 100})
+    done = run(spark, job)
+    assert done["bronze"].rows == done["silver"].rows == 3_000
+    # Files of at most 100 records were packed, and cut again by records.
+    files = list_files(spark, job.bronze).where("is_data")
+    assert files.count() == 30 and read_layer(spark, job.bronze, job.schema).count() == 3_000
+    job = Medallion(**{**vars(job), "max_records": None, "partition_by": None})
+    run(spark, job)
+    assert list_files(spark, job.silver).where("is_data").count() == 1
+    assert gold(spark, job) == {("micro", "TBD", "TBD", 3_000)}
+
+
+def test_command_line_lands_and_runs_on_a_mount(spark, job, tmp_path, monkeypatch):
+    for page, body in enumerate([*map(json.dumps, RECORDS), *["[]"] * 70]):
+        (tmp_path / f"{page}.json").write_text(body)
+    monkeypatch.setenv("LAKE", "viewfs://lake/here")
+    link = ["--job", EXAMPLE, "--mount", f"/here=file://{tmp_path}/there"]
+    main(["land", *link, "--url", f"file://{tmp_path}/{{page}}.json", "--rate", "500"])
+    main(["run", *link])
+    there = load_job(EXAMPLE, {"LAKE": f"{tmp_path}/there"})
+    assert gold(spark, there) == EXPECTED
+    with pytest.raises(SystemExit):
+        main(["run", "--job", EXAMPLE, "--mount", "here"])

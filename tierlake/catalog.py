@@ -261,23 +261,23 @@ def page_service(pages: DataFrame, folder: str) -> None:
 
 @query(EVENT_SQL)
 def paged_landing_resumed(spark, sf_dir):
-    """A landing that fails in its third wave and goes on there when it is called again."""
+    """A landing that fails in a later wave and goes on there when it is called again."""
     pages = spark.read.parquet(landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END)))
     last = pages.agg(F.max("page")).first()[0]
     folder = f"{scratch(spark)}/service"
-    # Waves of 4, 8, 16, ... pages; of the third one nothing is there at first.
-    page_service(pages.where("page < 12"), folder)
+    # Waves of 16, 32, 64, ... pages; of the third one nothing is there at first.
+    page_service(pages.where("page < 48"), folder)
     url = f"file://{folder.removeprefix('file://').removeprefix('file:')}/{{page}}.json"
     target = f"{scratch(spark)}/landed"
     try:
-        land_pages(spark, url, target, first_wave=4, pages_per_task=4)
+        land_pages(spark, url, target, first_wave=16, pages_per_task=16)
     except (PySparkException, Py4JJavaError):
-        page_service(pages.where("page >= 12"), folder)
-        beyond = spark.range(last + 1, 4 * last + 64).select(
+        page_service(pages.where("page >= 48"), folder)
+        beyond = spark.range(last + 1, 3 * last + 64).select(
             F.col("id").alias("page"), F.lit("[]").alias("body")
         )
         page_service(beyond, folder)
-        land_pages(spark, url, target, first_wave=4, pages_per_task=4)
+        land_pages(spark, url, target, first_wave=16, pages_per_task=16)
     return read_records(take_pages(read_pages(spark, target)), EVENT)
 
 

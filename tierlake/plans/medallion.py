@@ -54,6 +54,8 @@ class Medallion:
     on_bad_page: str = "stop"
     cluster: bool = True
     max_records: int | None = None
+    #: About how large the files of layers without folders are to be.
+    file_bytes: int | None = None
     swap: str = "rename"
 
     @property
@@ -65,6 +67,11 @@ class Medallion:
         keys = [self.schema[key] for key in self.keys]
         return T.StructType([*keys, T.StructField(self.count_name, T.LongType())])
 
+    def layout(self, partition_by: str | None = None) -> dict[str, object]:
+        """How a layer is written, for ``refresh``; folders are sized by their values."""
+        file_bytes = None if partition_by else self.file_bytes
+        return {"max_records": self.max_records, "file_bytes": file_bytes, "swap": self.swap}
+
     def bronze_frame(self, pages: DataFrame, end: PagesEnd | None = None) -> DataFrame:
         return read_records(take_pages(pages, self.on_bad_page, end), self.schema)
 
@@ -117,7 +124,7 @@ def run(
                 "pages end at %d: %s, status %s", end.stop, end.cause, end.status,
             )
             records = job.bronze_frame(pages, end)
-            written = refresh(records, job.bronze, max_records=job.max_records, swap=job.swap)
+            written = refresh(records, job.bronze, **job.layout())
         done["bronze"] = replace(written, end=end)
     if "silver" in layers:
         bronze = read_layer(spark, job.bronze, job.schema)
@@ -126,14 +133,11 @@ def run(
             job.silver,
             job.partition_by,
             cluster=job.cluster,
-            max_records=job.max_records,
-            swap=job.swap,
+            **job.layout(job.partition_by),
         )
     if "gold" in layers:
         silver = read_layer(spark, job.silver, job.silver_schema)
-        done["gold"] = refresh(
-            job.gold_frame(silver), job.gold, max_records=job.max_records, swap=job.swap
-        )
+        done["gold"] = refresh(job.gold_frame(silver), job.gold, **job.layout())
     return done
 
 
