@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -116,3 +117,34 @@ def test_vocabulary_has_the_ids_of_its_file(rows):
     for text in [r[1] for r in rows if r[1]] + more:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
         assert byte_bpe().encode_ordinary(text) == ids == ranks.encode_ordinary(text)
+
+
+def brute_kept(found, width=2.0):
+    """Bands from sorted lists, then every document against them."""
+    least = {"chars_per_token": 0.02, "byte_share": 0.03, "entropy": 0.02}
+    passing = [r for r in found if not r.base_failed]
+    out = {}
+    for r in found:
+        kept = not r.base_failed
+        for metric, smallest in least.items():
+            held = sorted(o[metric] for o in passing if o.band == r.band)
+            if kept and held:
+                low, high = (held[math.ceil(share * len(held)) - 1] for share in (0.25, 0.75))
+                room = max(high - low, smallest) * width * math.sqrt(1 + 200 / max(1, r.n_words))
+                kept = low - room <= r[metric] <= high + room
+        out[r.doc_id] = kept
+    return out
+
+
+def test_kept_equals_brute_force(spark, sf_dir, docs):
+    rng = random.Random(6)
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(10_000 + k, " ".join(f"ŵ{rng.random()}ß" for _ in range(30 * k)), "en") for k in range(12)]
+    table = given.unionByName(spark.createDataFrame(odd, given.schema))
+    for frame in (table, docs.select("doc_id", "text", "lang")):
+        found = fertility(frame).collect()
+        assert {r.doc_id: r.kept for r in found} == brute_kept(found)
+        for r in found:
+            assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+    odd_ones = [r.kept for r in fertility(table).collect() if r.doc_id >= 10_000 and not r.base_failed]
+    assert odd_ones and not all(odd_ones)

@@ -1,3 +1,4 @@
+import math
 import re
 from html import unescape
 
@@ -6,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tierlake.llm.html_text import extract, main_text, smoothed
+from tierlake.llm.html_text import Lines, extract, main_text, ratios, smoothed
 
 LONG = "A sentence that is long enough to look like the text of an article, more or less."
 
@@ -164,3 +165,80 @@ def test_very_long_page():
     page = f"<article>{f'<p>{LONG}</p>' * 20_000}</article>"
     assert main_text(page).count("\n") == 19_999
     assert main_text("<div>" * 3_000 + LONG) == LONG
+
+
+def plain_blocks(html):
+    """``text, tags, linked`` of the blocks of simple pages: tags cut out by a pattern."""
+    blocks, text, tags, linked, link = [], "", 0, 0, False
+    for token in re.findall(r"<[^>]*>|[^<]+", html):
+        if not token.startswith("<"):
+            text += token
+            linked += len(token.strip()) if link else 0
+            continue
+        name = re.match(r"</?(\w+)", token)[1]
+        if name != "a" and name != "b":
+            if text.strip():
+                blocks.append((" ".join(unescape(text).split()), tags, linked))
+            text, tags, linked = "", 0, 0
+        else:
+            link = link if name == "b" else not token.startswith("</")
+        tags += 1
+    if text.strip():
+        blocks.append((" ".join(unescape(text).split()), tags, linked))
+    return blocks
+
+
+def plain_main_text(html):
+    """The dealt method on flat pages without marks, number by number."""
+    blocks = plain_blocks(html)
+    if not blocks:
+        return ""
+    own = [max(0, len(text) - linked) / max(1, tags) for text, tags, linked in blocks]
+    score = []
+    for k in range(len(own)):
+        near = [(math.exp(-0.5 * (j - k) ** 2), own[j]) for j in range(max(0, k - 3), min(len(own), k + 4))]
+        score.append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+    mean = sum(score) / len(score)
+    threshold = math.sqrt(sum((x - mean) ** 2 for x in score) / len(score))
+    cluster = [x >= threshold for x in score]
+    strong = [c and x >= threshold for c, x in zip(cluster, own, strict=True)]
+    if not any(strong):
+        strong = cluster
+    # All blocks lie in one region: it is chosen, and of a chosen region every block stays.
+    return "\n".join(text for text, _, _ in blocks) if any(strong) else ""
+
+
+def plain_ratios(html):
+    return [max(0, len(t) - linked) / max(1, tags) for t, tags, linked in plain_blocks(html)]
+
+
+FLAT = st.lists(
+    st.tuples(st.sampled_from(["p", "h2", "li"]), st.sampled_from(["", "a", "b"]), st.integers(1, 60)),
+    min_size=1, max_size=12,
+)
+
+
+@settings(max_examples=200, deadline=None)
+@given(FLAT)
+def test_flat_pages_equal_a_plain_version(parts):
+    html = "".join(
+        f"<{block}>{f'<{inline}>' if inline else ''}{('word ' * n).strip()}{f'</{inline}>' if inline else ''}</{block}>"
+        for block, inline, n in parts
+    )
+    parser = Lines()
+    parser.feed(html)
+    parser.close()
+    parser.end_line()
+    assert [(x.text, x.tags, x.linked) for x in parser.lines] == plain_blocks(html)
+    own = ratios(parser.lines)
+    assert own == pytest.approx(plain_ratios(html))
+    score = smoothed(own)
+    for k in range(len(own)):
+        weights = [math.exp(-0.5 * (j - k) ** 2) if abs(j - k) <= 3 else 0 for j in range(len(own))]
+        assert score[k] == pytest.approx(np.dot(weights, own) / sum(weights))
+    # On a flat page the region is the page: only menus at its ends go.
+    text = main_text(html).split("\n")
+    whole = plain_main_text(html).split("\n")
+    assert "\n".join(text) in "\n".join(whole)
+    first = max(range(len(own)), key=lambda k: own[k])
+    assert plain_blocks(html)[first][0] in text or own[first] == 0
