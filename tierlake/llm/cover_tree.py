@@ -217,14 +217,17 @@ def compress(
     start = np.array(start, dtype=np.int64).reshape(len(start), size)
     books = [start[:, cut] for cut in cuts]
     grown = stored(blocks(rows.withColumn("vector", integers(F.col("vector"), scale, size)), cuts))
+    width = max(book.shape[1] for book in books)
     if not len(start):
         rounds = 0
     for _ in range(rounds):
-        means = floor_means(totals(grown, cuts, books), ["part", "entry"])
+        means = floor_means(totals(grown, cuts, books), ["part", "entry"], width)
         last = books
         books = [
-            np.array([means.get((p, e), old.tolist()) for e, old in enumerate(book)], dtype=np.int64)
-            .reshape(book.shape)
+            np.array(
+                [means.get((p, e), old.tolist())[: book.shape[1]] for e, old in enumerate(book)],
+                dtype=np.int64,
+            ).reshape(book.shape)
             for p, book in enumerate(books)
         ]
         if all(np.array_equal(a, b) for a, b in zip(last, books, strict=True)):

@@ -125,7 +125,7 @@ def cluster(
     table = stored(pivot_distances(rows, fixed))
 
     for _ in range(rounds if len(choice) else 0):
-        means = floor_means(totals(table, centroids, fixed), ["cluster"])
+        means = floor_means(totals(table, centroids, fixed), ["cluster"], size)
         last = centroids
         centroids = np.array(
             [means.get((k,), old.tolist()) for k, old in enumerate(centroids)], dtype=np.int64

@@ -71,15 +71,16 @@ def pair_squared(points: np.ndarray, others: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", step, step)
 
 
-def floor_means(sums: DataFrame, keys: list[str]) -> dict[tuple, list[int]]:
+def floor_means(sums: DataFrame, keys: list[str], width: int) -> dict[tuple, list[int]]:
     """``floor(sum / count)`` by ``keys``, component by component.
 
-    ``sums`` has ``keys``, ``n`` and ``sums array<long>``, a few rows a task. What
-    comes to the driver is a mean per key: a codebook.
+    ``sums`` has ``keys``, ``n`` and ``sums array<long>`` of ``width``, a row per
+    task and key; they are added up as they are, without a row per component.
+    Shorter arrays give shorter means. What comes to the driver is a mean per key: a codebook.
     """
-    each = sums.select(*keys, "n", F.posexplode("sums").alias("place", "x"))
-    total = each.groupBy(*keys, "place").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
-    means: dict[tuple, dict[int, int]] = {}
-    for row in total.where("n > 0").collect():
-        means.setdefault(tuple(row[k] for k in keys), {})[row["place"]] = row["x"] // row["n"]
-    return {key: [of[place] for place in range(len(of))] for key, of in means.items()}
+    parts = [F.sum(F.get("sums", F.lit(k))) for k in range(width)]
+    total = sums.groupBy(*keys).agg(F.sum("n").alias("n"), F.array(*parts).alias("sums"))
+    return {
+        tuple(row[k] for k in keys): [x // row["n"] for x in row["sums"] if x is not None]
+        for row in total.where("n > 0").collect()
+    }
