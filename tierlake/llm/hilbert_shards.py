@@ -53,19 +53,19 @@ def text_cuts(df: DataFrame, dim: str, shares: list[float]) -> list[str]:
     tasks = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     counts = counts.repartitionByRange(int(tasks), "value")
     counts = stored(counts.withColumn("part", F.spark_partition_id()))
-    before, offsets = 0, []
-    for part, n in sorted(tuple(r) for r in counts.groupBy("part").agg(F.sum("count")).collect()):
-        offsets.append((part, before))
-        before += n
-    if not offsets:
+    total = counts.agg(F.sum("count")).first()[0]
+    if not total:
         return []
-    offsets = df.sparkSession.createDataFrame(offsets, "part int, before long")
+    # One row a range.
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy("part").agg(F.sum("count").alias("rows"))
+    offsets = sums.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("part").orderBy("value")
     reached = counts.join(F.broadcast(offsets), "part").withColumn(
         "reached", F.sum("count").over(inside) + F.col("before")
     )
     firsts = [
-        F.min(F.when(F.col("reached") >= share * before, F.col("value"))).alias(f"c{k}")
+        F.min(F.when(F.col("reached") >= share * total, F.col("value"))).alias(f"c{k}")
         for k, share in enumerate(shares)
     ]
     return list(reached.agg(*firsts).first())
