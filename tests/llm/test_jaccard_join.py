@@ -8,7 +8,14 @@ from hypothesis import strategies as st
 
 from tierlake.llm import jaccard_join
 from tierlake.llm.components import components
-from tierlake.llm.jaccard_join import SKETCH_BITS, jaccard_components, keys_of, mixed
+from tierlake.llm.jaccard_join import (
+    SKETCH_BITS,
+    Shingler,
+    jaccard_components,
+    keys_of,
+    mixed,
+    pair_keys_of,
+)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -90,6 +97,14 @@ def test_one_round_and_shuffled_texts(spark, near, monkeypatch):
     assert found(jaccard_components(table_of(spark, near))) == expected(near)
 
 
+@pytest.mark.parametrize("hot", [0, 1, 8])
+def test_large_groups_are_keyed_by_pairs(spark, near, monkeypatch, hot):
+    # A sketch that tells no token from another.
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 10**6)
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    assert found(jaccard_components(table_of(spark, near))) == expected(near)
+
+
 def test_other_threshold(spark, near):
     width, percent = 2, 60
     some = near[::3]
@@ -129,6 +144,19 @@ def test_similar_sets_share_a_key(common, left, right, seed, percent, frequent):
     (kx, rx), (ky, ry) = (keys_of(s, sketch, frequent, percent) for s in (x, y))
     overlap = -(-percent * (len(x) + len(y)) // (100 + percent))
     assert np.intersect1d(kx[rx >= overlap], ky[ry >= overlap]).size
+    (kx, rx), (ky, ry) = (pair_keys_of(s, sketch, percent) for s in (x, y))
+    assert np.intersect1d(kx[rx >= overlap], ky[ry >= overlap]).size
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text("ab \nÄ", max_size=40), max_size=12), st.integers(1, 6))
+def test_texts_together_give_what_each_gives(batch, width):
+    tokens, place = Shingler(width).together(batch)
+    assert len(place) == len(batch) + 1
+    for k, text in enumerate(batch):
+        own = tokens[place[k] : place[k + 1]]
+        assert (own == Shingler(width)(text)).all() and (own[1:] > own[:-1]).all()
+        assert len(own) == len(shingles(text, width))
 
 
 def test_components(spark):

@@ -17,7 +17,15 @@ so a set emits keys for the one or two values its partners may have.
 
 How frequent a token is comes from a sketch of ``2 ** SKETCH_BITS`` counters
 over all documents. It overestimates where tokens share a counter; any estimate
-that is the same for all documents gives the right result.
+that is the same for all documents gives the right result. Tasks get the counters
+on a scale of one byte.
+
+The more tokens share a counter, the more frequent a token can be without
+standing out. Where that could be more than ``HOT`` documents, the groups of
+single tokens are counted, and larger ones are replaced: their members are keyed by
+every two tokens of one colour in the extended prefix, so that two sets whose
+first common token is such a one meet at a pair. Group sizes so do not follow
+the size of the corpus, however coarse the sketch is for it.
 
 With each key goes its *room*, how many tokens a set can still share from the
 key's place on, plus the extension. A pair of sizes ``m`` and ``n`` overlaps in
@@ -38,12 +46,13 @@ Documents with equal sets are one *representative* throughout.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +67,12 @@ SKETCH_BITS = 22
 BLOCK_BITS = 16
 #: A token is frequent above this estimate, or well above the mean counter.
 FREQUENT = 64
+#: Documents that may meet at one single token; larger groups are keyed by pairs.
+HOT = 256
 #: Words whose hashes a worker keeps.
 CACHE = 60_000
+#: Characters of texts that are shingled at once; a longer text comes alone.
+TOGETHER = 1 << 18
 #: Rounds of comparing with one member of each group before pairs are formed, at most.
 STARS = 4
 #: 64-bit words of a set's bitmap.
@@ -68,6 +81,8 @@ BITMAP = 8
 BROADCAST_ROWS = 500_000
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: The bit that tells keys of single tokens (0) from others (1).
+SINGLE = np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -97,18 +112,59 @@ class Shingler:
 
     def __call__(self, text: str | None) -> np.ndarray:
         """The sorted distinct 64-bit tokens of a text."""
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
+        return self.together([text])[0]
+
+    def together(self, batch: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all texts, one text after the other, and the places where texts begin and end."""
         if len(self.numbers) > CACHE:
             self.numbers = Numbers()
-        at = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        words = [words_of(text) for text in batch]
+        count = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        at = np.fromiter(
+            map(self.numbers.__getitem__, chain.from_iterable(words)), dtype=np.int64, count=count.sum()
+        )
         h = self.numbers.hashes[at]
-        size = min(self.width, len(h))
-        total = np.full(len(h) - size + 1, size, dtype=np.uint64)
-        for k in range(size):
-            total = total * STEP + h[k : k + len(total)]
-        return np.unique(mixed(total))
+        long = count >= self.width
+        n = np.where(long, count - self.width + 1, np.minimum(count, 1))
+        place, ends = np.zeros(len(n) + 1, dtype=np.int64), np.cumsum(count)
+        np.cumsum(n, out=place[1:])
+        total = np.zeros(place[-1], dtype=np.uint64)
+        if long.any():
+            left = np.repeat(ends, count) - np.arange(len(h))  # words from here to the text's end
+            whole = np.flatnonzero(left >= self.width)
+            total[np.repeat(long, n)] = hashed(h, self.width)[whole]
+        for k in np.flatnonzero((n > 0) & ~long):
+            total[place[k]] = hashed(h[ends[k] - count[k] : ends[k]], int(count[k]))[0]
+        total = mixed(total)
+        for begin, end in zip(place[:-1].tolist(), place[1:].tolist(), strict=True):
+            total[begin:end].sort()
+        new = np.ones(len(total), dtype=bool)
+        new[1:] = total[1:] != total[:-1]
+        new[place[:-1][n > 0]] = True
+        kept = np.zeros(len(total) + 1, dtype=np.int64)
+        np.cumsum(new, out=kept[1:])
+        return total[new], kept[place]
+
+
+def hashed(h: np.ndarray, size: int) -> np.ndarray:
+    """One number for each run of ``size`` word hashes."""
+    total = np.full(len(h) - size + 1, size, dtype=np.uint64)
+    for k in range(size):
+        total = total * STEP + h[k : k + len(total)]
+    return total
+
+
+def batches(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Texts in batches of bounded length, or alone."""
+    batch, length = [], 0
+    for text in texts:
+        if batch and length + len(text or "") > TOGETHER:
+            yield batch
+            batch, length = [], 0
+        batch.append(text)
+        length += len(text or "")
+    if batch:
+        yield batch
 
 
 def overlap_needed(n: int, percent: int) -> int:
@@ -120,40 +176,98 @@ def extension(n: int) -> int:
     return 1 if n < 16 else 1 << (int(n).bit_length() - 4)
 
 
+def estimates(tokens: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Each token's counter; the sketch has a power of two of them."""
+    shift = 64 - (len(sketch).bit_length() - 1)
+    return sketch[(tokens >> np.uint64(shift)).astype(np.int64)]
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts on a logarithmic scale of one byte."""
+    scaled = np.empty(len(counts), dtype=np.uint8)
+    for begin in range(0, len(counts), 1 << BLOCK_BITS):
+        part = slice(begin, begin + (1 << BLOCK_BITS))
+        scaled[part] = np.minimum(8 * np.log2(1.0 + counts[part]), 255)
+    return scaled
+
+
+def pairs_of(
+    tokens: np.ndarray, place: np.ndarray, g: int, salt: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and rooms of every two tokens of one of ``g`` colours among those at ``place``."""
+    colour = tokens[place] % np.uint64(g)
+    by_colour = np.argsort(colour, kind="stable")
+    place, colour = place[by_colour], colour[by_colour]
+    # Neighbours at distance 1, 2, ... while any are left.
+    for apart in range(1, len(place)):
+        same = colour[apart:] == colour[:-apart]
+        if not same.any():
+            break
+        one, two = place[:-apart][same], place[apart:][same]
+        key = mixed(mixed(tokens[one] + np.uint64(g + salt)) * STEP + tokens[two])
+        yield key | SINGLE, len(tokens) - two + g
+
+
+def equal_only(n: int, percent: int) -> bool:
+    """Are sets similar to one of ``n`` tokens equal to it?"""
+    return overlap_needed(n, percent) == n == 100 * n // percent
+
+
+def joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not found:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+    keys, rooms = zip(*found, strict=True)
+    return np.concatenate(keys), np.concatenate(rooms).astype(np.int32)
+
+
 def keys_of(
     tokens: np.ndarray, sketch: np.ndarray, frequent: float, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of a set with their room: its rare prefix tokens, combinations of frequent ones."""
+    """Index keys of a set (sorted) with their room: rare prefix tokens, pairs of frequent ones.
+
+    Keys of single tokens are even, those of pairs odd.
+    """
     n = len(tokens)
     need = overlap_needed(n, percent)
-    if need == n == 100 * n // percent:  # similar sets are equal sets
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
-    estimate = sketch[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-    order = np.lexsort((tokens, estimate))
+    if equal_only(n, percent):
+        return joined([])
+    estimate = estimates(tokens, sketch)
+    order = np.argsort(estimate, kind="stable")
     tokens, often = tokens[order], estimate[order] > frequent
     prefix = n - need + 1
     place = np.flatnonzero(~often[:prefix])
-    keys, room = [tokens[place]], [n - place]
+    found = [(tokens[place] & ~SINGLE, n - place)]
     if often[:prefix].any():
         for g in {extension(n), extension(need)}:
-            place = np.flatnonzero(often[: prefix + g])
-            colour = tokens[place] % np.uint64(g)
-            by_colour = np.argsort(colour, kind="stable")
-            place, colour = place[by_colour], colour[by_colour]
-            # Every two of one colour: neighbours at distance 1, 2, ... while any are left.
-            for apart in range(1, len(place)):
-                same = colour[apart:] == colour[:-apart]
-                if not same.any():
-                    break
-                one, two = place[:-apart][same], place[apart:][same]
-                keys.append(mixed(mixed(tokens[one] + np.uint64(g)) * STEP + tokens[two]))
-                room.append(n - two + g)
-    return np.concatenate(keys), np.concatenate(room).astype(np.int32)
-
-
-def bitmap_of(tokens: np.ndarray) -> np.ndarray:
-    odd = np.bincount((tokens % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+            found += pairs_of(tokens, np.flatnonzero(often[: prefix + g]), g, 0)
+    return joined(found)
+
+
+def pair_keys_of(
+    tokens: np.ndarray, sketch: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a set (sorted) that holds a hot token: every two of one colour, rare or frequent.
+
+    Two similar sets that both have such keys share one of them: their first
+    ``g + 1`` common tokens are in both extended prefixes.
+    """
+    n = len(tokens)
+    need = overlap_needed(n, percent)
+    if equal_only(n, percent):
+        return joined([])
+    tokens = tokens[np.argsort(estimates(tokens, sketch), kind="stable")]
+    found = []
+    for g in {extension(n), extension(need)}:
+        found += pairs_of(tokens, np.arange(min(n, n - need + 1 + g)), g, 1 << 40)
+    return joined(found)
+
+
+def bitmaps_of(tokens: np.ndarray, of: np.ndarray, sets: int) -> np.ndarray:
+    """A row of ``BITMAP`` words for each of ``sets``, whose tokens these are."""
+    bits = 64 * BITMAP
+    at = of * bits + (tokens % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(at, minlength=sets * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(sets, bits), axis=1).view(np.int64)
 
 
 def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
@@ -169,8 +283,9 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
         shingle, waiting, pending = Shingler(width), [], 0
         counts, one = np.zeros(size, dtype="<u4"), np.uint32(1)
         for frame in frames:
-            for text in frame["text"]:
-                waiting.append((shingle(text) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
+            for batch in batches(frame["text"]):
+                tokens, _ = shingle.together(batch)
+                waiting.append((tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
                 pending += len(waiting[-1])
                 if pending > 1_000_000:
                     np.add.at(counts, np.concatenate(waiting), one)
@@ -213,39 +328,42 @@ def token_sketch(rows: DataFrame, width: int) -> tuple[np.ndarray, float]:
     return sketch, float(sketch.mean())
 
 
-def signatures(rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
+def signatures(
+    rows: DataFrame, width: int, percent: int, sent: Broadcast, frequent: int, folder: str
+) -> DataFrame:
     """``doc_id, n_shingles, s1, s2, bits, keys, rooms`` of each row, stored.
 
-    Equal sets have equal ``n_shingles, s1, s2``.
+    Equal sets have equal ``n_shingles, s1, s2``. ``sent`` has the levels of the
+    sketch, ``frequent`` is the level above which a token is frequent.
     """
-    sketch, mean = token_sketch(rows, width)
-    frequent = max(FREQUENT, 2 * mean + 6 * math.sqrt(mean))
-    sent = rows.sparkSession.sparkContext.broadcast(sketch)
+
+    def sums(hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes, out=total[1:])
+        return (total[place[1:]] - total[place[:-1]]).view(np.int64)
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle = Shingler(width)
         for frame in frames:
-            n, s1, s2, bits, keys, rooms = [], [], [], [], [], []
-            for text in frame["text"]:
-                tokens = shingle(text)
-                n.append(len(tokens))
-                s1.append(mixed(tokens).sum(dtype=np.uint64).astype(np.int64))
-                s2.append(mixed(tokens ^ STEP).sum(dtype=np.uint64).astype(np.int64))
-                bits.append(bitmap_of(tokens))
-                key, room = keys_of(tokens, sent.value, frequent, percent)
-                keys.append(key.view(np.int64))
-                rooms.append(room)
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"],
-                    "n_shingles": n,
-                    "s1": s1,
-                    "s2": s2,
-                    "bits": bits,
-                    "keys": keys,
-                    "rooms": rooms,
-                }
-            )
+            begin = 0
+            for batch in batches(frame["text"]):
+                tokens, place = shingle.together(batch)
+                n = np.diff(place)
+                of = np.repeat(np.arange(len(batch)), n)
+                ends = zip(place[:-1].tolist(), place[1:].tolist(), strict=True)
+                posts = [keys_of(tokens[a:b], sent.value, frequent, percent) for a, b in ends]
+                yield pd.DataFrame(
+                    {
+                        "doc_id": frame["doc_id"].iloc[begin : begin + len(batch)].to_numpy(),
+                        "n_shingles": n,
+                        "s1": sums(mixed(tokens), place),
+                        "s2": sums(mixed(tokens ^ STEP), place),
+                        "bits": list(bitmaps_of(tokens, of, len(batch))),
+                        "keys": [key.view(np.int64) for key, _ in posts],
+                        "rooms": [room for _, room in posts],
+                    }
+                )
+                begin += len(batch)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     signed = rows.mapInPandas(
@@ -253,9 +371,31 @@ def signatures(rows: DataFrame, width: int, percent: int, folder: str) -> DataFr
         f"doc_id {kind}, n_shingles long, s1 long, s2 long, bits array<long>, "
         "keys array<long>, rooms array<int>",
     )
-    signed = stored(signed, folder)
-    sent.destroy()
-    return signed
+    return stored(signed, folder)
+
+
+def without_hot(
+    posted: DataFrame, rows: DataFrame, width: int, percent: int, sent: Broadcast, folder: str
+) -> DataFrame:
+    """``posted`` with the single tokens of more than ``HOT`` sets replaced by pairs."""
+    single = F.col("key").bitwiseAND(F.lit(1)) == 0
+    hot = posted.where(single).groupBy("key").count().where(F.col("count") > HOT).select("key")
+    hot = broadcast_if_small(stored(hot, folder), BROADCAST_ROWS)
+    held = posted.join(hot, "key", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    held = broadcast_if_small(stored(held, folder), BROADCAST_ROWS)
+
+    def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle = Shingler(width)
+        for frame in frames:
+            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+                tokens = shingle(text)
+                keys, rooms = pair_keys_of(tokens, sent.value, percent)
+                row = {"rep": doc_id, "n": len(tokens), "keys": keys.view(np.int64), "rooms": rooms}
+                yield pd.DataFrame([row])
+
+    schema = f"rep {kind(rows)}, n long, keys array<long>, rooms array<int>"
+    pairs = rows.join(held, "doc_id", "left_semi").mapInPandas(sign, schema)
+    return posted.join(hot, "key", "left_anti").unionByName(posted_keys(stored(pairs, folder)))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int, folder: str) -> DataFrame:
@@ -332,7 +472,11 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     """``jaccard_components`` of ``doc_id, text`` rows with different ids."""
     spark = rows.sparkSession
     folder = scratch(spark)
-    signed = signatures(rows, width, percent, folder)
+    sketch, mean = token_sketch(rows, width)
+    frequent = max(FREQUENT, 2 * mean + 6 * math.sqrt(mean))
+    level = int(levels(np.array([frequent]))[0])
+    sent = spark.sparkContext.broadcast(levels(sketch))
+    signed = signatures(rows, width, percent, sent, level, folder)
     able = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     same = "n_shingles", "s1", "s2"
     classes = stored(able.groupBy(*same).agg(F.min("doc_id").alias("rep")), folder)
@@ -343,9 +487,13 @@ def unique_components(rows: DataFrame, width: int, percent: int) -> DataFrame:
     posted = posted_keys(
         first.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "keys", "rooms")
     )
+    # A rare token's counter, hence its group, is below the next level.
+    if 2 ** ((level + 1) / 8) > HOT:
+        posted = without_hot(posted, rows, width, percent, sent, folder)
     shared = posted.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     shared = shared.where("low < high").select("key")
     held = stored(gathered(posted.join(shared, "key")), folder)
+    sent.destroy()
 
     links = spark.createDataFrame([], f"a {kind(rows)}, b {kind(rows)}")
     labels, last = None, False
