@@ -2,7 +2,8 @@ import re
 
 import pytest
 
-from tierlake.llm.mixing import mix
+from tierlake.llm import mixing
+from tierlake.llm.mixing import mix, schedule
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -65,6 +66,18 @@ def test_any_stretch_of_the_schedule_is_mixed(docs):
         assert abs(r[1] / words - share) < 0.02
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 1024])
+def test_slots_of_a_source_are_ranked_in_order(spark, monkeypatch, chunk):
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    targets = spark.createDataFrame([(1, 900.0), (2, 0.0), (3, 300.0)], "source_id int, target double")
+    slots = sorted(map(tuple, schedule(targets, 2).select("slot", "source_id", "rank").collect()))
+    assert [s for s, _, _ in slots] == list(range(600))
+    for source in (1, 3):
+        ranks = [rank for _, of, rank in slots if of == source]
+        assert ranks == list(range(len(ranks))) and abs(len(ranks) - 150 * (4 - source)) < 3
+    assert {of for _, of, _ in slots} == {1, 3}
+
+
 def test_reruns_agree(docs):
     a, b = (sorted(map(tuple, mix(t)[0].collect())) for t in (docs, docs.repartition(5)))
     assert a == b

@@ -29,7 +29,7 @@ MAX_EPOCHS = 3
 BLOCK = 128
 #: Cells of the unit interval through which points find their source.
 GRID = 4096
-#: Slots that are ranked together.
+#: Slots that are ranked together, at least.
 CHUNK = 1024
 GOLDEN = 0.6180339887498949
 SPLIT = 20
@@ -83,7 +83,9 @@ def source_targets(
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """``slot, source, rank``: which source each slot takes, and its how many-th slot that is.
 
-    Sources are told apart by ``source_id``, a number of this table.
+    Sources are told apart by ``source_id``, a number of this table. Slots are
+    ranked in chunks, and chunks of a source by a running count; a chunk has the
+    square root of all slots, so that neither becomes long.
     """
     spark = targets.sparkSession
     everything = Window.partitionBy()
@@ -119,8 +121,10 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     high, low = F.shiftright(number, SPLIT), number.bitwiseAND((1 << SPLIT) - 1)
     step = math.fmod(GOLDEN * (1 << SPLIT), 1.0)
     point = F.pmod(high * F.lit(step) + low * F.lit(GOLDEN), F.lit(1.0))
-    slots = spark.range(round(total / block)).select(
-        F.col("id").alias("slot"), F.expr(f"id div {CHUNK}").alias("chunk")
+    number_of_slots = round(total / block)
+    chunk = max(CHUNK, math.isqrt(number_of_slots))
+    slots = spark.range(number_of_slots).select(
+        F.col("id").alias("slot"), F.expr(f"id div {chunk}").alias("chunk")
     )
     slots = slots.withColumn("point", point).withColumn(
         "cell", F.least(F.floor(F.col("point") * GRID), F.lit(GRID - 1).cast("long"))
