@@ -1,4 +1,6 @@
 import hashlib
+import os
+from contextlib import suppress
 
 from pyspark.sql import functions as F
 
@@ -69,6 +71,25 @@ def test_state_outlives_deliveries(spark, docs, rows, tmp_path):
     assert later.held().where("locator is null").count() == 0
 
 
+def test_state_is_closed_when_its_tasks_end(spark, docs, tmp_path):
+    """RocksDB holds a LOCK file as long as a partition is open."""
+    fds = f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/fd"
+
+    def held():
+        found = set()
+        for name in os.listdir(fds):
+            with suppress(OSError):  # closed meanwhile
+                found.add(os.readlink(f"{fds}/{name}"))
+        return found
+
+    before = held()
+    state = DigestState(spark, str(tmp_path))
+    state.land(docs)
+    state.fold()
+    assert not [x for x in held() - before if x.endswith("/LOCK")]
+    assert state.held().count() > 0
+
+
 def test_plan_runs_no_python(docs):
     plan = exact_duplicates(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan

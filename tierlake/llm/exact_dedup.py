@@ -29,12 +29,14 @@ STATE_SETTINGS = {
     f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{STATE}.rocksdb.allowFAllocate": "false",
     # Small write buffers: each partition's first block of one is an eighth of it,
-    # outside the heap. Partitions of a finished run are let go soon.
+    # outside the heap.
     f"{STATE}.rocksdb.writeBufferSizeMB": "4",
     # All partitions of an executor share one bounded cache, write buffers included.
     f"{STATE}.rocksdb.boundedMemoryUsage": "true",
     f"{STATE}.rocksdb.maxMemoryUsageMB": "96",
-    f"{STATE}.maintenanceInterval": "10s",
+    # A partition is open only while a task works on it: memory goes with the tasks
+    # that run, not with the partitions an executor has met.
+    f"{STATE}.unloadOnCommit": "true",
 }
 #: Members of groups that are sent to every task instead of shuffling all texts.
 BROADCAST_ROWS = 500_000
