@@ -7,6 +7,7 @@ work of every query grows with them. Queries that store something write below
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.fs import Files
 from tierlake.functions.nulls import fill_defaults, null_rows
 from tierlake.functions.numeric import json_field, safe_double, safe_double_variant
 from tierlake.operators.aggregate import count_by
@@ -42,6 +44,8 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 PAGE_SIZE = 50
+# Pages that a Python worker gets at a time.
+FRAME_PAGES = 500
 
 
 def query(sql: str) -> Callable[[Query], Query]:
@@ -233,30 +237,57 @@ def paged_end_reason(spark, sf_dir):
     return spark.createDataFrame(found, "cause STRING, stop BIGINT, status INT")
 
 
-@query(EVENT_SQL)
-def paged_files(spark, sf_dir):
-    """One file a page, its number in the path."""
-    path = landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END))
-    files = f"{scratch(spark)}/files"
-    spark.read.parquet(path).select("page", F.col("body").alias("value")).repartition(
-        F.col("page")
-    ).write.partitionBy("page").text(files)
-    pages = read_page_files(spark, files, number=r"/page=(\d+)/")
-    return read_records(take_pages(pages), EVENT)
+def page_service(pages: DataFrame, folder: str, name: str = "{page}.json") -> None:
+    """A file ``<page>.json`` per page, written by the tasks; stands in for a paged service.
 
-
-def page_service(pages: DataFrame, folder: str) -> None:
-    """A file ``<page>.json`` per page, written by the tasks; stands in for a paged service."""
+    Another ``name`` may lie in a folder a page.
+    """
     place = folder.removeprefix("file://").removeprefix("file:")
     Path(place).mkdir(parents=True, exist_ok=True)
 
     def write(frames):
         for frame in frames:
             for page, body in zip(frame["page"], frame["body"], strict=True):
-                Path(f"{place}/{page}.json").write_text(body, encoding="utf-8")
+                path = f"{place}/{name.format(page=page)}"
+                if "/" in name:
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                Path(path).write_text(body, encoding="utf-8")
             yield frame[["page"]]
 
-    pages.select("page", "body").mapInPandas(write, "page BIGINT").count()
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark, before = pages.sparkSession, pages.sparkSession.conf.get(rows)
+    most = int(before)
+    spark.conf.set(rows, str(min(FRAME_PAGES, most) if most > 0 else FRAME_PAGES))
+    try:
+        pages.select("page", "body").mapInPandas(write, "page BIGINT").count()
+    finally:
+        spark.conf.set(rows, before)
+
+
+def page_folders(pages: DataFrame, folder: str) -> None:
+    """A folder ``page=<page>`` with one text file per page.
+
+    Without Hadoop's native library Spark's text writer starts six processes,
+    for permissions, a file it makes so in a local folder; there the tasks
+    write the files themselves.
+    """
+    if Files(pages.sparkSession).local(folder) is None:
+        body = F.col("body").alias("value")
+        by_page = pages.select("page", body).repartition(F.col("page"))
+        by_page.write.partitionBy("page").text(folder)
+    else:
+        lines = pages.withColumn("body", F.concat("body", F.lit("\n")))
+        page_service(lines, folder, "page={page}/body.txt")
+
+
+@query(EVENT_SQL)
+def paged_files(spark, sf_dir):
+    """One file a page, its number in the path."""
+    path = landed(spark, event_pages(spark, sf_dir), closing_page(*NATURAL_END))
+    files = f"{scratch(spark)}/files"
+    page_folders(spark.read.parquet(path), files)
+    pages = read_page_files(spark, files, number=r"/page=(\d+)/")
+    return read_records(take_pages(pages), EVENT)
 
 
 @query(EVENT_SQL)

@@ -30,6 +30,14 @@ class Files:
         location = self._path(path)
         return location.getFileSystem(self._conf), location
 
+    def local(self, path: str) -> str | None:
+        """The path in the local file system, None if Hadoop finds it in another one."""
+        fs, location = self._at(path)
+        # The second is Hive's, over the first.
+        if fs.getClass().getSimpleName() not in ("LocalFileSystem", "ProxyLocalFileSystem"):
+            return None
+        return fs.makeQualified(location).toUri().getPath()
+
     def exists(self, path: str) -> bool:
         fs, location = self._at(path)
         return fs.exists(location)

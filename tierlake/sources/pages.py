@@ -30,6 +30,7 @@ from tierlake.operators.pages import (
     with_empty_flag,
 )
 from tierlake.sinks.refresh import LEASE, publish, staging_path
+from tierlake.sources.folders import read_folder
 from tierlake.sources.layers import layer_path
 
 PAGE_SCHEMA = "page BIGINT, status INT, body STRING"
@@ -56,9 +57,17 @@ def read_pages(spark: SparkSession, path: str, format: str = "parquet") -> DataF
 
 
 def read_page_files(spark: SparkSession, path: str, number: str = r"(\d+)\.json$") -> DataFrame:
-    """One file per page; ``number`` finds the page number in the file path."""
-    files = spark.read.text(path, wholetext=True)
-    page = F.regexp_extract("_metadata.file_path", number, 1).cast("bigint")
+    """One file per page; ``number`` finds the page number in the file path.
+
+    Plain files in local folders are listed and read by tasks, whatever their
+    number (``read_folder``); all else goes through Spark's text source, which
+    lists on the driver.
+    """
+    files = read_folder(spark, path)
+    if files is None:
+        text = spark.read.text(path, wholetext=True)
+        files = text.select(F.col("_metadata.file_path").alias("path"), "value")
+    page = F.regexp_extract("path", number, 1).cast("bigint")
     return files.select(
         page.alias("page"), F.lit(200).alias("status"), F.col("value").alias("body")
     )
